@@ -137,3 +137,71 @@ FROM (SELECT personid, player_name, stat, line, avg(points) AS pv FROM history
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)
+
+
+# --- history --------------------------------------------------------------------
+
+_ELITE_SQL = (
+    "CASE WHEN stat = 'points' THEN base_avg > 20.0 "
+    "WHEN stat = 'assists' THEN base_avg > 5.0 "
+    "WHEN stat IN ('rebounds', 'reboundstotal') THEN base_avg > 6.5 "
+    "WHEN stat = 'steals' THEN base_avg > 1.3 "
+    "WHEN stat = 'blocks' THEN base_avg > 1.2 "
+    "WHEN stat IN ('threes', '3pm', 'threepointersmade') THEN base_avg > 2.5 ELSE false END"
+)
+
+HISTORY = f"""
+, unified AS (
+  SELECT h.personid, h.player_name, h.stat, h.line, h.team, h.gameid, g.gamedate, h.row_a, h.row_b,
+         {stat_value_sql('h.stat')} AS x
+  FROM history h JOIN games g ON h.gameid = g.gameid),
+ranked AS (
+  SELECT *,
+    row_number() OVER (PARTITION BY personid, stat
+                       ORDER BY gamedate DESC, gameid DESC, row_a DESC, row_b DESC, line, team, player_name) AS rk,
+    CASE WHEN x IS NOT NULL THEN row_number() OVER (
+        PARTITION BY personid, player_name, stat, line, team, (x IS NULL)
+        ORDER BY gamedate DESC, gameid DESC, row_a DESC, row_b DESC) - 1 END AS pos,
+    count(x) OVER (PARTITION BY personid, player_name, stat, line, team) AS n_vals
+  FROM unified),
+weighted AS (
+  SELECT *, pow(CAST(0.95 AS DOUBLE), rk - 1) AS w,
+    CASE WHEN x IS NULL THEN NULL
+         WHEN pos < 10 THEN CAST(0.7 AS DOUBLE) * CAST(1.5 AS DOUBLE)
+         WHEN pos < 82 THEN CAST(0.7 AS DOUBLE) ELSE CAST(0.3 AS DOUBLE) END AS tw
+  FROM ranked),
+summary AS (
+  SELECT personid, player_name, stat, line, team,
+         sum(x * w) / sum(w) AS base_avg, stddev_samp(x) AS std_dev, min(x) AS min_val, max(x) AS max_val,
+         count(x) AS game_count, sum(x * tw) / sum(tw) AS recent_avg,
+         sum(CASE WHEN pos >= n_vals - 3 THEN x END) / 3.0 AS last3_avg
+  FROM weighted GROUP BY personid, player_name, stat, line, team
+  HAVING count(x) >= 3),
+model AS (
+  SELECT *, CASE WHEN base_avg > 0 THEN recent_avg / base_avg ELSE CAST(1.0 AS DOUBLE) END AS trend,
+         COALESCE(game_count > 100 AND ({_ELITE_SQL}), false) AS is_elite,
+         CASE WHEN last3_avg > base_avg * 1.2 THEN 'hot' WHEN last3_avg < base_avg * 0.8 THEN 'cold'
+              ELSE 'none' END AS streak
+  FROM summary)
+"""
+
+_K = "personid, player_name, stat, " + r6("line") + " AS line, team"
+
+Q["unified_history"] = with_views(HISTORY + f"""
+SELECT {_K}, gameid, {ts('gamedate')} AS gamedate, row_a, row_b, {r6('x')} AS x FROM unified""")
+
+Q["recency_rank"] = with_views(HISTORY + f"""
+SELECT {_K}, gameid, row_a, row_b, rk, {r6('w')} AS w FROM weighted""")
+
+Q["decay_summary"] = with_views(HISTORY + f"""
+SELECT {_K}, {r6('base_avg')} AS base_avg, {r6('std_dev')} AS std_dev, {r6('min_val')} AS min_val,
+       {r6('max_val')} AS max_val, game_count FROM model""")
+
+Q["season_trend"] = with_views(HISTORY + f"""
+SELECT {_K}, {r6('base_avg')} AS base_avg, {r6('recent_avg')} AS recent_avg, {r6('trend')} AS trend FROM model""")
+
+Q["streak_state"] = with_views(HISTORY + f"""
+SELECT {_K}, {r6('base_avg')} AS base_avg, {r6('last3_avg')} AS last3_avg, streak FROM model""")
+
+Q["elite_flag"] = with_views(HISTORY + f"""
+SELECT {_K}, {r6('base_avg')} AS base_avg, game_count, is_elite FROM model""")

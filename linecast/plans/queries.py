@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from linecast.functions.fmt import round_doubles
 from linecast.functions.names import with_name_parts
-from linecast.operators import averages, resolve
+from linecast.operators import averages, history, resolve
 from linecast.sources import fixtures as fx
 from linecast.sources.props import parse_props, props_as_ndjson
 
@@ -112,6 +112,42 @@ def q_batch_points_predictions(spark, d):
     return averages.batch_points_predictions(_history(spark, d), run_ts=RUN_TS)
 
 
+# --- history -----------------------------------------------------------------------
+
+def _unified(spark, d):
+    return history.unified_history(fx.stats(spark, d), _props_with_id(spark, d), fx.games(spark, d))
+
+
+def _summary(spark, d):
+    return history.with_model_inputs(history.line_summary(history.with_recency(_unified(spark, d))))
+
+
+def q_unified_history(spark, d):
+    return _unified(spark, d)
+
+
+def q_recency_rank(spark, d):
+    r = history.with_recency(_unified(spark, d))
+    return r.select(*history.LINE_KEY, "gameid", "row_a", "row_b", "rk", "w")
+
+
+def q_decay_summary(spark, d):
+    return _summary(spark, d).select(
+        *history.LINE_KEY, "base_avg", "std_dev", "min_val", "max_val", "game_count")
+
+
+def q_season_trend(spark, d):
+    return _summary(spark, d).select(*history.LINE_KEY, "base_avg", "recent_avg", "trend")
+
+
+def q_streak_state(spark, d):
+    return _summary(spark, d).select(*history.LINE_KEY, "base_avg", "last3_avg", "streak")
+
+
+def q_elite_flag(spark, d):
+    return _summary(spark, d).select(*history.LINE_KEY, "base_avg", "game_count", "is_elite")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_props": q_scan_props,
     "split_names": q_split_names,
@@ -125,6 +161,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "deviation": q_deviation,
     "locks_final": q_locks_final,
     "batch_points_predictions": q_batch_points_predictions,
+    "unified_history": q_unified_history,
+    "recency_rank": q_recency_rank,
+    "decay_summary": q_decay_summary,
+    "season_trend": q_season_trend,
+    "streak_state": q_streak_state,
+    "elite_flag": q_elite_flag,
 }
 
 
