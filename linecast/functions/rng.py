@@ -45,12 +45,25 @@ def stream_seed(key_int: Column, stream: int) -> Column:
     return ((key_int * F.lit(KEY_MULT)) % F.lit(MOD) + F.lit(((stream + 1) * STREAM_MULT) % MOD)) % F.lit(MOD)
 
 
+def _xorshift(c: Column, shift: int) -> Column:
+    return c.bitwiseXOR(F.shiftright(c, shift))
+
+
 def with_mixed(df: DataFrame, names: list[str]) -> DataFrame:
-    """Apply the mixing rounds in place to the integer columns ``names``."""
+    """Apply the mixing rounds in place to the integer columns ``names``.
+
+    One projection per round: the xor-shift of the previous round is fused
+    with this round's multiply-add (an attribute referenced twice is cheap),
+    which keeps generated code small.
+    """
+    prev_shift = None
     for mult, inc, shift in ROUNDS:
-        df = df.withColumns({n: (F.col(n) * F.lit(mult) + F.lit(inc)) % F.lit(MOD) for n in names})
-        df = df.withColumns({n: F.col(n).bitwiseXOR(F.shiftright(F.col(n), shift)) for n in names})
-    return df
+        def step(n, mult=mult, inc=inc, prev_shift=prev_shift):
+            x = F.col(n) if prev_shift is None else _xorshift(F.col(n), prev_shift)
+            return (x * F.lit(mult) + F.lit(inc)) % F.lit(MOD)
+        df = df.withColumns({n: step(n) for n in names})
+        prev_shift = shift
+    return df.withColumns({n: _xorshift(F.col(n), prev_shift) for n in names})
 
 
 def to_uniform(c: Column | str) -> Column:

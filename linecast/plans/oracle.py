@@ -205,3 +205,177 @@ SELECT {_K}, {r6('base_avg')} AS base_avg, {r6('last3_avg')} AS last3_avg, strea
 
 Q["elite_flag"] = with_views(HISTORY + f"""
 SELECT {_K}, {r6('base_avg')} AS base_avg, game_count, is_elite FROM model""")
+
+
+# --- scenario simulation ------------------------------------------------------------
+# Same seeded integer generator as linecast.functions.rng, written as SQL.
+
+from linecast.functions import rng as _rng  # noqa: E402
+from linecast.operators import scenario as _sc  # noqa: E402
+
+SEED = 42
+N_DRAWS = _sc.DRAWS_PER_PREDICTION
+_P = _rng.MOD
+from linecast.operators.history import SHORT_HISTORY as _SHORT  # noqa: E402
+
+
+def _mix_ctes(prefix: str, src: str, cols: list[str]) -> tuple[str, str]:
+    """CTE chain applying the mixing rounds to ``cols``; returns (sql, last name)."""
+    parts, prev = [], src
+    for i, (m, c, sh) in enumerate(_rng.ROUNDS):
+        a, b = f"{prefix}m{i}a", f"{prefix}m{i}b"
+        rep_a = ", ".join(f"({x} * {m} + {c}) % {_P} AS {x}" for x in cols)
+        rep_b = ", ".join(f"xor({x}, {x} >> {sh}) AS {x}" for x in cols)
+        parts.append(f"{a} AS (SELECT * REPLACE ({rep_a}) FROM {prev})")
+        parts.append(f"{b} AS (SELECT * REPLACE ({rep_b}) FROM {a})")
+        prev = b
+    return ",\n".join(parts), prev
+
+
+def _u(x: str) -> str:
+    return f"((CAST({x} AS DOUBLE) + 0.5) / {_rng.TWO_POW_31})"
+
+
+def _bm(u1: str, u2: str) -> tuple[str, str]:
+    r = f"sqrt(-2.0 * ln({u1}))"
+    return f"{r} * cos({_rng.TWO_PI!r} * {u2})", f"{r} * sin({_rng.TWO_PI!r} * {u2})"
+
+
+def _floor_min_sql() -> str:
+    from linecast.functions.stats import DEFAULT_FLOOR_MINIMUM, FLOOR_MINIMUMS
+
+    arms = " ".join(
+        "WHEN stat IN (" + ", ".join(f"'{n}'" for n in names) + f") THEN CAST({v} AS DOUBLE)"
+        for names, v in FLOOR_MINIMUMS
+    )
+    return f"CASE {arms} ELSE CAST({DEFAULT_FLOOR_MINIMUM} AS DOUBLE) END"
+
+
+def scenario_ctes(n_draws: int = N_DRAWS, seed: int = SEED) -> str:
+    s_cols = [f"s{t}" for t in range(_sc.DRAW_STREAMS + _sc.DAILY_STREAMS)]
+    seeds = ", ".join(
+        f"((ki * {_rng.KEY_MULT}) % {_P} + {((t + 1) * _rng.STREAM_MULT) % _P}) % {_P} AS s{t}"
+        for t in range(len(s_cols))
+    )
+    mix_keys, keys_last = _mix_ctes("k", "sc_seed", s_cols)
+    dz = []
+    for p in range(2):
+        a, b = _bm(_u(f"s{_sc.DRAW_STREAMS + 2 * p}"), _u(f"s{_sc.DRAW_STREAMS + 2 * p + 1}"))
+        dz += [a, b]
+    factors = []
+    for i, (name, (t, n)) in enumerate(_sc.DAILY_FACTORS.items()):
+        factors.append(
+            f"CASE WHEN tight THEN greatest(CAST({t[1]} AS DOUBLE), least(CAST({t[2]} AS DOUBLE), 1.0 + dz{i} * {t[0]})) "
+            f"ELSE greatest(CAST({n[1]} AS DOUBLE), least(CAST({n[2]} AS DOUBLE), 1.0 + dz{i} * {n[0]})) END AS {name}"
+        )
+    u_cols = [f"u{t}" for t in range(_sc.DRAW_STREAMS)]
+    mix_draws, draws_last = _mix_ctes("d", "sc_d0", u_cols)
+    zs = []
+    for p in range(3):
+        a, b = _bm(_u(f"u{2 * p}"), _u(f"u{2 * p + 1}"))
+        zs += [f"{a} AS z{2 * p}", f"{b} AS z{2 * p + 1}"]
+    i1, i2, i3 = _sc.ELITE_IMPACT_SD
+    ts_, ns_ = _sc.TIGHT_GAME_SD, _sc.NORMAL_GAME_SD
+    daily_mult = " * daily_form * injury_concern * matchup_factor * rest_factor"
+
+    def regular(sd):
+        return (f"sample * (1.0 + z1 * {sd[0]}) * (1.0 + z2 * {sd[1]}) * (1.0 + z3 * {sd[2]})"
+                f" * (trend + z4 * {sd[3]}){daily_mult}")
+
+    eh, ec = _sc.STREAK_ELITE["hot"], _sc.STREAK_ELITE["cold"]
+    rh, rc = _sc.STREAK_REGULAR["hot"], _sc.STREAK_REGULAR["cold"]
+    return f"""
+, sc_in AS (
+  SELECT *, stat IN ('threes', '3pm', 'threepointersmade', 'steals') AS tight,
+         md5(concat_ws('|', coalesce(CAST(personid AS VARCHAR), '~'), coalesce(player_name, '~'),
+                       coalesce(stat, '~'), coalesce(CAST(CAST(line AS DECIMAL(18,4)) AS VARCHAR), '~'),
+                       coalesce(team, '~'), '{seed}')) AS h
+  FROM model WHERE game_count >= {_SHORT}),
+sc_seed AS (SELECT *, {seeds} FROM (SELECT *, CAST(('0x' || substr(h, 1, 7)) AS BIGINT) AS ki FROM sc_in) q),
+{mix_keys},
+sc_dz AS (SELECT *, {dz[0]} AS dz0, {dz[1]} AS dz1, {dz[2]} AS dz2, {dz[3]} AS dz3 FROM {keys_last}),
+sc_inputs AS (
+  SELECT personid, player_name, stat, line, team, base_avg, trend, is_elite, tight, streak,
+         greatest(std_dev, base_avg * 0.1) AS sd_eff,
+         CASE WHEN is_elite THEN base_avg * 0.6 ELSE greatest(base_avg * 0.5, {_floor_min_sql()}) END AS fl,
+         greatest(max_val, base_avg * 3.0) AS ce,
+         {", ".join(factors)},
+         s0, s1, s2, s3, s4, s5
+  FROM sc_dz),
+sc_d0 AS (
+  SELECT personid, player_name, stat, line, team, base_avg, trend, is_elite, tight, streak, sd_eff, fl, ce,
+         daily_form, injury_concern, matchup_factor, rest_factor, d.draw_id,
+         {", ".join(f"(s{t} + ((d.draw_id + 1) * {_rng.DRAW_MULT}) % {_P}) % {_P} AS u{t}" for t in range(6))}
+  FROM sc_inputs, range(0, {n_draws}) d(draw_id)),
+{mix_draws},
+sc_z AS (SELECT * EXCLUDE ({", ".join(u_cols)}), {", ".join(zs)} FROM {draws_last}),
+sc_v0 AS (
+  SELECT *, base_avg + z0 * sd_eff AS sample,
+         greatest(CAST(-{_sc.ELITE_IMPACT_CAP} AS DOUBLE), least(CAST({_sc.ELITE_IMPACT_CAP} AS DOUBLE),
+                  z1 * {i1} + z2 * {i2} + z3 * {i3} + (trend - 1.0) * {_sc.ELITE_TREND_SHARE})) AS impact
+  FROM sc_z),
+sc_v1 AS (
+  SELECT *, CASE WHEN is_elite THEN sample * (1.0 + impact){daily_mult}
+                 WHEN tight THEN {regular(ts_)}
+                 ELSE {regular(ns_)} END AS v_raw,
+         CASE WHEN streak = 'hot' AND is_elite THEN {eh[0]} + z5 * {eh[1]}
+              WHEN streak = 'hot' THEN {rh[0]} + z5 * {rh[1]}
+              WHEN streak = 'cold' AND is_elite THEN {ec[0]} + z5 * {ec[1]}
+              WHEN streak = 'cold' THEN {rc[0]} + z5 * {rc[1]} END AS mult
+  FROM sc_v0),
+sc_draws AS (
+  SELECT personid, player_name, stat, line, team, draw_id,
+         least(greatest(CASE WHEN mult IS NULL THEN v_raw ELSE v_raw * mult END, fl), ce) AS v
+  FROM sc_v1),
+sc_ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY personid, player_name, stat, line, team ORDER BY v) AS vr
+  FROM sc_draws),
+sc_summary AS (
+  SELECT personid, player_name, stat, line, team,
+         avg(v) AS predicted_value,
+         CAST(sum(CASE WHEN v > line THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS probability_over,
+         max(CASE WHEN vr = {_sc.order_stat_ranks(n_draws)[0]} THEN v END) AS confidence_low,
+         max(CASE WHEN vr = {_sc.order_stat_ranks(n_draws)[1]} THEN v END) AS confidence_high
+  FROM sc_ranked GROUP BY personid, player_name, stat, line, team),
+sc_short AS (
+  SELECT personid, player_name, stat, line, team, base_avg AS predicted_value, CAST(0.5 AS DOUBLE) AS probability_over,
+         base_avg * 0.8 AS confidence_low, base_avg * 1.2 AS confidence_high
+  FROM model WHERE game_count < {_SHORT}),
+sc_all AS (SELECT * FROM sc_summary UNION ALL SELECT * FROM sc_short),
+sc_rec AS (
+  SELECT *, CASE WHEN probability_over > 0.6 THEN 'over' WHEN probability_over < 0.4 THEN 'under' ELSE 'neutral' END AS bet_outcome,
+         CASE WHEN predicted_value > line THEN ((predicted_value - line) / line) * 100.0
+              ELSE ((line - predicted_value) / line) * 100.0 END AS deviation_percentage,
+         CASE WHEN probability_over >= 0.7 OR probability_over <= 0.3 THEN 'high'
+              WHEN probability_over >= 0.55 OR probability_over <= 0.45 THEN 'medium' ELSE 'low' END AS confidence_score,
+         CASE WHEN confidence_high - confidence_low > predicted_value * 0.5 THEN 'high_risk'
+              WHEN confidence_high - confidence_low > predicted_value * 0.3 THEN 'medium_risk' ELSE 'low_risk' END AS risk_assessment
+  FROM sc_all)
+"""
+
+
+_SC = HISTORY + scenario_ctes()
+_PV = f"{r6('predicted_value')} AS predicted_value, {r6('probability_over')} AS probability_over, " \
+      f"{r6('confidence_low')} AS confidence_low, {r6('confidence_high')} AS confidence_high"
+
+Q["daily_factors"] = with_views(_SC + f"""
+SELECT {_K}, {", ".join(f"{r6(n)} AS {n}" for n in _sc.DAILY_FACTORS)} FROM sc_inputs""")
+
+Q["scenario_draws"] = with_views(_SC + f"""
+SELECT {_K}, count(*) AS n_draws, {r6('min(v)')} AS min_v, {r6('max(v)')} AS max_v, {r6('avg(v)')} AS mean_v
+FROM sc_draws GROUP BY personid, player_name, stat, line, team""")
+
+Q["scenario_summary"] = with_views(_SC + f"SELECT {_K}, {_PV} FROM sc_summary")
+
+Q["scenario_short_history"] = with_views(_SC + f"SELECT {_K}, {_PV} FROM sc_short")
+
+Q["recommend_scenario"] = with_views(_SC + f"""
+SELECT {_K}, {_PV}, bet_outcome, {r6('deviation_percentage')} AS deviation_percentage, confidence_score, risk_assessment
+FROM sc_rec""")
+
+Q["scenario_predictions"] = with_views(_SC + f"""
+SELECT personid, player_name, stat AS stat_type, {r6('line')} AS line, '{RUN_DATE}' AS game_date, team,
+       {r6('predicted_value')} AS predicted_value, bet_outcome, {r6('deviation_percentage')} AS deviation_percentage,
+       {r6('probability_over')} AS probability_over, {r6('confidence_low')} AS confidence_low,
+       {r6('confidence_high')} AS confidence_high, confidence_score, risk_assessment, '{RUN_TS}' AS created_at
+FROM sc_rec""")

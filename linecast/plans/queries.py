@@ -17,12 +17,15 @@ from pyspark.sql import types as T
 
 from linecast.functions.fmt import round_doubles
 from linecast.functions.names import with_name_parts
-from linecast.operators import averages, history, resolve
+from linecast.operators import averages, history, resolve, scenario
 from linecast.sources import fixtures as fx
 from linecast.sources.props import parse_props, props_as_ndjson
 
 # Run time used by the registered queries (reruns give identical rows).
 RUN_TS = "2024-01-02 00:00:00"
+# Seed and draw count of the registered scenario queries (draws as in the reference).
+SEED = 42
+N_DRAWS = scenario.DRAWS_PER_PREDICTION
 
 
 def finalize(df: DataFrame) -> DataFrame:
@@ -148,6 +151,42 @@ def q_elite_flag(spark, d):
     return _summary(spark, d).select(*history.LINE_KEY, "base_avg", "game_count", "is_elite")
 
 
+# --- scenario simulation -----------------------------------------------------------
+
+def _inputs(spark, d):
+    return scenario.scenario_inputs(_summary(spark, d), SEED)
+
+
+def _simulated(spark, d):
+    return scenario.simulate(_summary(spark, d), N_DRAWS, SEED)
+
+
+def q_daily_factors(spark, d):
+    return _inputs(spark, d).select(*history.LINE_KEY, *scenario.DAILY_FACTORS)
+
+
+def q_scenario_draws(spark, d):
+    return scenario.draw_statistics(scenario._checkpoint(_inputs(spark, d)), N_DRAWS)
+
+
+def q_scenario_summary(spark, d):
+    inputs = scenario._checkpoint(_inputs(spark, d))
+    return scenario.scenario_summary(inputs, N_DRAWS)
+
+
+def q_scenario_short_history(spark, d):
+    return scenario.short_history(_summary(spark, d))
+
+
+def q_recommend_scenario(spark, d):
+    return scenario.with_scenario_recommendation(_simulated(spark, d))
+
+
+def q_scenario_predictions(spark, d):
+    return scenario.scenario_predictions(
+        scenario.with_scenario_recommendation(_simulated(spark, d)), run_ts=RUN_TS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_props": q_scan_props,
     "split_names": q_split_names,
@@ -167,6 +206,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "season_trend": q_season_trend,
     "streak_state": q_streak_state,
     "elite_flag": q_elite_flag,
+    "daily_factors": q_daily_factors,
+    "scenario_draws": q_scenario_draws,
+    "scenario_summary": q_scenario_summary,
+    "scenario_short_history": q_scenario_short_history,
+    "recommend_scenario": q_recommend_scenario,
+    "scenario_predictions": q_scenario_predictions,
 }
 
 

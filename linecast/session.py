@@ -18,7 +18,11 @@ BASE_CONF = {
     # Broadcast only what AQE measured to be small at runtime.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; let
+    # Spark split such code instead of running it interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -37,7 +41,10 @@ def build_session(
     if master:
         builder = builder.master(master)
         if master.startswith("local"):
-            builder = builder.config("spark.driver.host", "127.0.0.1")
+            # local mode: the driver JVM is the only executor
+            builder = builder.config("spark.driver.host", "127.0.0.1").config(
+                "spark.driver.memory", os.environ.get("LINECAST_DRIVER_MEMORY", "16g")
+            )
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
