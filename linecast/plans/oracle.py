@@ -327,16 +327,15 @@ sc_draws AS (
   SELECT personid, player_name, stat, line, team, draw_id,
          least(greatest(CASE WHEN mult IS NULL THEN v_raw ELSE v_raw * mult END, fl), ce) AS v
   FROM sc_v1),
-sc_ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY personid, player_name, stat, line, team ORDER BY v) AS vr
-  FROM sc_draws),
 sc_summary AS (
+  -- quantile_disc returns the element at 0-based index ceil(n * q) - 1, so
+  -- q = (k + 0.5) / N selects exactly sorted[k] with k = int(0.1 N), int(0.9 N)
   SELECT personid, player_name, stat, line, team,
          avg(v) AS predicted_value,
          CAST(sum(CASE WHEN v > line THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS probability_over,
-         max(CASE WHEN vr = {_sc.order_stat_ranks(n_draws)[0]} THEN v END) AS confidence_low,
-         max(CASE WHEN vr = {_sc.order_stat_ranks(n_draws)[1]} THEN v END) AS confidence_high
-  FROM sc_ranked GROUP BY personid, player_name, stat, line, team),
+         quantile_disc(v, {(_sc.order_stat_ranks(n_draws)[0] - 1 + 0.5) / n_draws!r}) AS confidence_low,
+         quantile_disc(v, {(_sc.order_stat_ranks(n_draws)[1] - 1 + 0.5) / n_draws!r}) AS confidence_high
+  FROM sc_draws GROUP BY personid, player_name, stat, line, team),
 sc_short AS (
   SELECT personid, player_name, stat, line, team, base_avg AS predicted_value, CAST(0.5 AS DOUBLE) AS probability_over,
          base_avg * 0.8 AS confidence_low, base_avg * 1.2 AS confidence_high
@@ -379,3 +378,117 @@ SELECT personid, player_name, stat AS stat_type, {r6('line')} AS line, '{RUN_DAT
        {r6('probability_over')} AS probability_over, {r6('confidence_low')} AS confidence_low,
        {r6('confidence_high')} AS confidence_high, confidence_score, risk_assessment, '{RUN_TS}' AS created_at
 FROM sc_rec""")
+
+
+# --- stored predictions, sink logic, reports, triggers ---------------------------------
+
+PREDICTIONS = f"""
+, predictions AS (
+  SELECT *,
+    CASE WHEN probability_over >= 0.7 OR probability_over <= 0.3 THEN 'high'
+         WHEN probability_over >= 0.55 OR probability_over <= 0.45 THEN 'medium' ELSE 'low' END AS confidence_score,
+    CASE WHEN confidence_high - confidence_low > predicted_value * 0.5 THEN 'high_risk'
+         WHEN confidence_high - confidence_low > predicted_value * 0.3 THEN 'medium_risk' ELSE 'low_risk' END AS risk_assessment
+  FROM (
+    SELECT p.personid, concat_ws(' ', p.firstname, p.lastname) AS player_name, r.stat AS stat_type, r.line,
+           DATE '{PROP_GAME_DATE}' AS game_date, r.team, s.pv AS predicted_value,
+           CASE WHEN s.pv > r.line THEN 'over' ELSE 'under' END AS bet_outcome,
+           CASE WHEN p.personid % 17 = 0 THEN NULL
+                WHEN s.pv > r.line THEN (s.pv - r.line) / r.line * 100.0
+                ELSE (r.line - s.pv) / r.line * 100.0 END AS deviation_percentage,
+           CASE p.personid % 3 WHEN 0 THEN TIMESTAMP '2024-01-02 00:00:00'
+                               WHEN 1 THEN TIMESTAMP '2024-01-02 00:04:00'
+                               ELSE TIMESTAMP '2024-01-02 00:09:00' END AS created_at,
+           CAST(1.5 AS DOUBLE) AS processing_time_seconds, CAST(12.25 AS DOUBLE) AS total_processing_time_seconds,
+           least(CAST(1.0 AS DOUBLE), greatest(CAST(0.0 AS DOUBLE), s.pv / (r.line * 2.0))) AS probability_over,
+           s.pv * 0.8 AS confidence_low, s.pv * 1.2 AS confidence_high
+    FROM props r
+    JOIN (SELECT *, concat(firstname, ' ', lastname) AS player_name FROM players) p ON r.player_name = p.player_name
+    JOIN (SELECT personid, avg(points) AS pv FROM stats GROUP BY personid) s ON s.personid = p.personid) q)
+"""
+
+Q["locks_new_only"] = with_views(PREDICTIONS + f"""
+, batch AS (
+  SELECT personid, player_name, stat AS stat_type, line, DATE '2024-01-01' AS game_date, team, predicted_value,
+         bet_outcome, deviation_percentage, TIMESTAMP '2024-01-01 18:00:00' AS created_at
+  FROM recommended WHERE deviation_percentage >= 5.0),
+stored AS (SELECT DISTINCT personid, stat_type, line, game_date FROM predictions
+           WHERE created_at < TIMESTAMP '2024-01-02 00:05:00'),
+fresh AS (
+  SELECT b.* FROM batch b WHERE NOT EXISTS (
+    SELECT 1 FROM stored s WHERE s.personid = b.personid AND s.stat_type = b.stat_type
+      AND s.line = b.line AND s.game_date = b.game_date)
+  QUALIFY row_number() OVER (PARTITION BY personid, stat_type, line, game_date
+                             ORDER BY player_name, team, predicted_value, bet_outcome, deviation_percentage) = 1)
+SELECT personid, player_name, stat_type, {r6('line')} AS line, CAST(game_date AS VARCHAR) AS game_date, team,
+       {r6('predicted_value')} AS predicted_value, bet_outcome, {r6('deviation_percentage')} AS deviation_percentage,
+       {ts('created_at')} AS created_at
+FROM fresh""")
+
+Q["stage_counts"] = with_views("""
+SELECT 'props' AS stage, count(*) AS row_count FROM props
+UNION ALL SELECT 'players', count(*) FROM players_dedup
+UNION ALL SELECT 'props_with_id', count(*) FROM props_with_id
+UNION ALL SELECT 'stats', count(*) FROM stats
+UNION ALL SELECT 'history', count(*) FROM history
+UNION ALL SELECT 'averages', count(*) FROM averages
+UNION ALL SELECT 'locks', count(*) FROM recommended WHERE deviation_percentage >= 5.0""")
+
+_REPORT = f"""
+SELECT concat_ws(' ', firstname, lastname) AS player_name, stat_type, {r6('line')} AS line,
+       {r6('predicted_value')} AS predicted_value, bet_outcome,
+       CASE WHEN predicted_value IS NULL OR line IS NULL THEN NULL
+            WHEN predicted_value > line THEN 'OVER' ELSE 'UNDER' END AS display_outcome,
+       {ts('created_at')} AS created_at,
+       {r6('coalesce(floor(deviation_percentage * 10.0 + 0.5) / 10.0, 0.0)')} AS deviation_percentage,
+       CASE WHEN team IS NULL OR team = '' THEN 'N/A' ELSE team END AS team,
+       CASE WHEN deviation_percentage >= 20 THEN 'HIGH' ELSE 'MEDIUM' END AS confidence,
+       {r6('probability_over')} AS probability_over, {r6('confidence_low')} AS confidence_low,
+       {r6('confidence_high')} AS confidence_high, confidence_score, risk_assessment"""
+
+_REPORT_COLS = ("p.firstname, p.lastname, pr.stat_type, pr.line, pr.predicted_value, pr.bet_outcome, pr.created_at, "
+                "pr.deviation_percentage, pr.team, pr.probability_over, pr.confidence_low, pr.confidence_high, "
+                "pr.confidence_score, pr.risk_assessment")
+
+Q["report_locks"] = with_views(PREDICTIONS + _REPORT + f"""
+FROM (SELECT DISTINCT {_REPORT_COLS} FROM predictions pr JOIN players p ON pr.personid = p.personid) x
+ORDER BY x.deviation_percentage DESC NULLS LAST""")
+
+Q["report_recent"] = with_views(PREDICTIONS + _REPORT + f"""
+FROM (SELECT {_REPORT_COLS} FROM predictions pr JOIN players p ON pr.personid = p.personid) x
+ORDER BY x.deviation_percentage DESC NULLS LAST, x.created_at DESC NULLS FIRST,
+         concat_ws(' ', x.firstname, x.lastname), x.stat_type, x.line
+LIMIT 20""")
+
+Q["run_metrics"] = with_views(PREDICTIONS + f"""
+SELECT total_predictions, strftime(_start, '%H:%M:%S') AS run_start, strftime(_end, '%H:%M:%S') AS run_end,
+       {r6('floor(coalesce(_mc, 0.0) * 100.0 + 0.5) / 100.0')} AS monte_carlo_seconds,
+       {r6('floor(coalesce(_total, 0.0) * 100.0 + 0.5) / 100.0')} AS total_processing_seconds,
+       {ts('_end')} AS last_run_time,
+       total_predictions * {N_DRAWS} AS monte_carlo_simulations,
+       {r6(f'CASE WHEN coalesce(_total, 0.0) > 0 THEN floor(total_predictions * {N_DRAWS} / greatest(coalesce(_total, 0.0), 1.0) + 0.5) ELSE 0.0 END')} AS throughput
+FROM (SELECT count(*) AS total_predictions, min(created_at) AS _start, max(created_at) AS _end,
+             max(processing_time_seconds) AS _mc, max(total_processing_time_seconds) AS _total
+      FROM predictions
+      WHERE created_at >= (SELECT max(created_at) - INTERVAL 5 MINUTE FROM predictions)) m
+WHERE total_predictions > 0""")
+
+Q["prediction_count"] = with_views(PREDICTIONS + "SELECT count(*) AS total_predictions FROM predictions")
+
+_TRIGGERS = """
+, triggers AS (
+  SELECT ts AS kafka_timestamp,
+         CASE WHEN event_type = 'purchase' THEN 'prop_bet_analysis' ELSE event_type END AS job_type,
+         strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS "timestamp"
+  FROM events)
+"""
+
+Q["parse_triggers"] = with_views(_TRIGGERS + f"""
+SELECT {ts('kafka_timestamp')} AS kafka_timestamp, job_type, "timestamp" FROM triggers""")
+
+Q["route_triggers"] = with_views(_TRIGGERS + f"""
+SELECT {ts('kafka_timestamp')} AS kafka_timestamp, job_type, "timestamp" FROM triggers
+WHERE job_type = 'prop_bet_analysis'""")
+
+Q["trigger_records"] = with_views(_TRIGGERS + """
+SELECT CAST(json_object('job_type', job_type, 'timestamp', "timestamp") AS VARCHAR) AS value FROM triggers""")

@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 
 from linecast.functions.fmt import round_doubles
 from linecast.functions.names import with_name_parts
-from linecast.operators import averages, history, resolve, scenario
+from linecast.operators import averages, counts, history, reports, resolve, scenario
+from linecast.sinks import append
+from linecast.sources import triggers as trg
 from linecast.sources import fixtures as fx
 from linecast.sources.props import parse_props, props_as_ndjson
 
@@ -187,6 +189,68 @@ def q_scenario_predictions(spark, d):
         scenario.with_scenario_recommendation(_simulated(spark, d)), run_ts=RUN_TS)
 
 
+# --- sink logic, counts ----------------------------------------------------------
+
+# The locks batch of a run on the lines' game day, appended to a table that
+# already holds the rows stored before 00:05 of the next day.
+LOCKS_RUN_TS = "2024-01-01 18:00:00"
+STORED_BEFORE = "2024-01-02 00:05:00"
+
+
+def q_locks_new_only(spark, d):
+    batch = averages.locks_final(fx.stats(spark, d), _props_with_id(spark, d), run_ts=LOCKS_RUN_TS)
+    stored = fx.predictions(spark, d).filter(F.col("created_at") < F.lit(STORED_BEFORE).cast("timestamp"))
+    return append.new_rows(batch, stored)
+
+
+def q_stage_counts(spark, d):
+    props = fx.props(spark, d)
+    players = fx.players(spark, d)
+    with_id = resolve.resolve_players(props, players)
+    stats = fx.stats(spark, d)
+    hist = averages.line_history(stats, with_id)
+    avgs = averages.stat_averages(hist)
+    locked = averages.locks(averages.with_mean_recommendation(avgs))
+    return counts.stage_counts({
+        "props": props, "players": resolve.dedup_players(players), "props_with_id": with_id,
+        "stats": stats, "history": hist, "averages": avgs, "locks": locked,
+    })
+
+
+# --- reports ---------------------------------------------------------------------
+
+def q_report_locks(spark, d):
+    return reports.report_locks(fx.predictions(spark, d), fx.players(spark, d))
+
+
+def q_report_recent(spark, d):
+    return reports.report_recent(fx.predictions(spark, d), fx.players(spark, d))
+
+
+def q_run_metrics(spark, d):
+    return reports.run_metrics(fx.predictions(spark, d))
+
+
+def q_prediction_count(spark, d):
+    return reports.prediction_count(fx.predictions(spark, d))
+
+
+# --- triggers --------------------------------------------------------------------
+
+def q_parse_triggers(spark, d):
+    return trg.parse_triggers(fx.triggers(spark, d))
+
+
+def q_route_triggers(spark, d):
+    return trg.route_triggers(trg.parse_triggers(fx.triggers(spark, d)))
+
+
+def q_trigger_records(spark, d):
+    e = fx.table(spark, d, "events")
+    job = F.when(F.col("event_type") == "purchase", F.lit(trg.ANALYSIS_JOB)).otherwise(F.col("event_type"))
+    return e.select(trg.trigger_record(job, F.col("ts")).alias("value"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_props": q_scan_props,
     "split_names": q_split_names,
@@ -212,6 +276,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scenario_short_history": q_scenario_short_history,
     "recommend_scenario": q_recommend_scenario,
     "scenario_predictions": q_scenario_predictions,
+    "locks_new_only": q_locks_new_only,
+    "stage_counts": q_stage_counts,
+    "report_locks": q_report_locks,
+    "report_recent": q_report_recent,
+    "run_metrics": q_run_metrics,
+    "prediction_count": q_prediction_count,
+    "parse_triggers": q_parse_triggers,
+    "route_triggers": q_route_triggers,
+    "trigger_records": q_trigger_records,
 }
 
 
