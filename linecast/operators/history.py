@@ -170,6 +170,97 @@ def line_summary(ranked: DataFrame) -> DataFrame:
     )
 
 
+def summarize_lines(unified: DataFrame) -> DataFrame:
+    """The per-line summary of :func:`line_summary` in one pass over the rows.
+
+    Only one shuffle moves history rows: the within-day windows over
+    (personid, stat, date). Everything after works on one row per (line, date):
+
+    * decay: sum(x * 0.95**(rk-1)) = sum over dates of
+      0.95**(rows on newer dates) * sum(x * 0.95**(day rank - 1)),
+    * season-tier mean: only the newest 82 positions have distinct weights, so
+      each (line, date) keeps its first 82 values (by position) in a bounded
+      array, the rest enters as a plain sum with weight 0.3,
+    * last three: each (line, date) keeps its last three values,
+    * standard deviation: per-date count, mean and squared deviations merged
+      with the parallel-variance formula.
+
+    The second shuffle moves (line, date) rows partitioned by (personid, stat):
+    a hot player's rows are spread over its dates, and its dates are bounded
+    by the calendar.
+    """
+    u = _with_day(unified)
+    in_day = _in_day_order()
+    key_day = Window.partitionBy("personid", "stat", _DAY).orderBy(*in_day, *_line_tie_order())
+    line_day_part = ["personid", "stat", _DAY, "player_name", "line", "team", F.col("x").isNull()]
+    line_day = Window.partitionBy(*line_day_part).orderBy(*in_day)
+    line_day_rev = Window.partitionBy(*line_day_part).orderBy(*[c.asc() for c in [F.col("gameid"), F.col("row_a"), F.col("row_b")]])
+    r = (
+        u.withColumn("_day_rk", F.row_number().over(key_day))
+        .withColumn("_p", F.when(F.col("x").isNotNull(), F.row_number().over(line_day)))
+        .withColumn("_q", F.when(F.col("x").isNotNull(), F.row_number().over(line_day_rev)))
+    )
+    w_day = F.pow(F.lit(DECAY), F.col("_day_rk") - 1)
+    value = F.struct(F.col("_p").alias("p"), F.col("x").alias("x"))
+    days = r.groupBy(*LINE_KEY, _DAY).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count("x").alias("_vals"),
+        F.sum(F.col("x") * w_day).alias("_a"),
+        F.sum(w_day).alias("_b"),
+        F.sum("x").alias("_sum_d"),
+        F.avg("x").alias("_mean_d"),
+        (F.var_pop("x") * F.count("x")).alias("_m2_d"),
+        F.min("x").alias("_min_d"),
+        F.max("x").alias("_max_d"),
+        # bounded: at most SEASON_GAMES and 3 values per (line, date)
+        F.collect_list(F.when(F.col("_p") <= SEASON_GAMES, value)).alias("_head"),
+        F.collect_list(F.when(F.col("_q") <= 3, value)).alias("_tail"),
+    )
+    key_day_w = Window.partitionBy("personid", "stat", _DAY)
+    key_newer = Window.partitionBy("personid", "stat").orderBy(F.col(_DAY).desc())
+    line_newer = Window.partitionBy(*LINE_KEY).orderBy(F.col(_DAY).desc())
+    line_all = Window.partitionBy(*LINE_KEY)
+    days = (
+        days.withColumn("_rk_base", F.sum("_rows").over(key_newer) - F.sum("_rows").over(key_day_w))
+        .withColumn("_pos_base", F.sum("_vals").over(line_newer) - F.col("_vals"))
+        .withColumn("_n", F.sum("_vals").over(line_all))
+        .withColumn("_mean", F.try_divide(F.sum(F.col("_vals") * F.col("_mean_d")).over(line_all), F.col("_n")))
+    )
+
+    def pos(e):
+        return F.col("_pos_base") + e["p"] - 1
+
+    def tw(e):
+        p = pos(e)
+        return (F.when(p < RECENT_GAMES, F.lit(SEASON_WEIGHT * RECENCY_BOOST))
+                .when(p < SEASON_GAMES, F.lit(SEASON_WEIGHT)).otherwise(F.lit(OLDER_WEIGHT)))
+
+    head_x = F.aggregate("_head", F.lit(0.0), lambda acc, e: acc + e["x"])
+    trend_num = F.aggregate("_head", F.lit(0.0), lambda acc, e: acc + e["x"] * tw(e)) + (
+        F.coalesce(F.col("_sum_d"), F.lit(0.0)) - head_x) * F.lit(OLDER_WEIGHT)
+    trend_den = F.aggregate("_head", F.lit(0.0), lambda acc, e: acc + tw(e)) + (
+        F.col("_vals") - F.size("_head")).cast("double") * F.lit(OLDER_WEIGHT)
+    oldest3 = F.aggregate(
+        "_tail", F.lit(0.0),
+        lambda acc, e: acc + F.when(pos(e) >= F.col("_n") - 3, e["x"]).otherwise(F.lit(0.0)))
+    scale = F.pow(F.lit(DECAY), F.col("_rk_base"))
+    n = F.max("_n")
+    m2 = F.sum("_m2_d") + F.sum(F.col("_vals") * (F.col("_mean_d") - F.col("_mean")) * (F.col("_mean_d") - F.col("_mean")))
+    return (
+        days.groupBy(*LINE_KEY)
+        .agg(
+            (F.sum(scale * F.col("_a")) / F.sum(scale * F.col("_b"))).alias("base_avg"),
+            F.sqrt(F.try_divide(m2, (n - 1).cast("double"))).alias("std_dev"),
+            F.min("_min_d").alias("min_val"),
+            F.max("_max_d").alias("max_val"),
+            n.alias("game_count"),
+            (F.sum(trend_num) / F.sum(trend_den)).alias("recent_avg"),
+            (F.sum(oldest3) / F.lit(3.0)).alias("last3_avg"),
+        )
+        .filter(F.col("game_count") >= MIN_GAMES)
+    )
+
+
 def with_model_inputs(summary: DataFrame) -> DataFrame:
     """SCN4, SCN5, SCN8 inputs: trend ratio, elite flag and streak state."""
     base = F.col("base_avg")
@@ -189,4 +280,4 @@ def with_model_inputs(summary: DataFrame) -> DataFrame:
 
 def decay_summary(stats: DataFrame, props_with_id: DataFrame, games: DataFrame) -> DataFrame:
     """Unified history -> ranks -> per-line summary with model inputs."""
-    return with_model_inputs(line_summary(with_recency(unified_history(stats, props_with_id, games))))
+    return with_model_inputs(summarize_lines(unified_history(stats, props_with_id, games)))

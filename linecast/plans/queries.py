@@ -124,7 +124,7 @@ def _unified(spark, d):
 
 
 def _summary(spark, d):
-    return history.with_model_inputs(history.line_summary(history.with_recency(_unified(spark, d))))
+    return history.with_model_inputs(history.summarize_lines(_unified(spark, d)))
 
 
 def q_unified_history(spark, d):

@@ -21,6 +21,9 @@ BASE_CONF = {
     # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; let
     # Spark split such code instead of running it interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Cached relations keep their hash partitioning, so operators above a
+    # persisted, repartitioned input need no second shuffle.
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -31,8 +31,17 @@ POINTS_LINE_DELTAS = [0.0, 1.0, -0.2]
 PROP_GAME_DATE = "2024-01-01"
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; the DataFrame (file listing and schema) is built once
+    per session and path, then reused by every query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _round_to(c: Column, scale: float) -> Column:

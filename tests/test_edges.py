@@ -145,11 +145,12 @@ def _history_rows(seed=7):
     return rows
 
 
-def test_history_summary_matches_brute_force(spark):
+@pytest.mark.parametrize("one_pass", [True, False])
+def test_history_summary_matches_brute_force(spark, one_pass):
     rows = _history_rows()
     df = spark.createDataFrame(rows, UNIFIED).repartition(5)
-    got = {(r.personid, r.player_name, r.stat, r.line, r.team): r.asDict()
-           for r in history.line_summary(history.with_recency(df)).collect()}
+    summary = history.summarize_lines(df) if one_pass else history.line_summary(history.with_recency(df))
+    got = {(r.personid, r.player_name, r.stat, r.line, r.team): r.asDict() for r in summary.collect()}
     want = _brute_summary(rows)
     assert set(got) == set(want)
     for k, w in want.items():
