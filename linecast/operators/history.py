@@ -73,29 +73,33 @@ def _with_day(unified: DataFrame) -> DataFrame:
     )
 
 
-def _day_offsets(u: DataFrame) -> DataFrame:
+def _day_offsets(ranked: DataFrame) -> DataFrame:
     """One row per (personid, stat, date): rows of the player/stat on newer
     dates and, per line of that player/stat, values on newer dates and the
-    line's total number of values."""
-    days = u.groupBy(*LINE_KEY, _DAY).agg(
-        F.count(F.lit(1)).alias("_rows"), F.count("x").alias("_vals")
-    )
+    line's total number of values.
+
+    The per-date counts are read off the ranked rows (the within-date
+    positions), so this branch needs exactly the columns of the main branch
+    and Spark reuses the one shuffle of the history rows for both.
+    """
+    line_days = ranked.groupBy(*LINE_KEY, _DAY).agg(
+        F.count(F.lit(1)).alias("_rows"), F.coalesce(F.max("_day_pos"), F.lit(0)).alias("_vals"))
     key_day = Window.partitionBy("personid", "stat", _DAY)
     key_newer = Window.partitionBy("personid", "stat").orderBy(F.col(_DAY).desc())
     line_newer = Window.partitionBy(*LINE_KEY).orderBy(F.col(_DAY).desc())
     line_all = Window.partitionBy(*LINE_KEY)
-    days = (
-        days.withColumn("_key_day_rows", F.sum("_rows").over(key_day))
+    line_days = (
         # default RANGE frame: every line of this and all newer dates
-        .withColumn("_rk_base", F.sum("_rows").over(key_newer) - F.col("_key_day_rows"))
+        line_days.withColumn("_rk_base", F.sum("_rows").over(key_newer) - F.sum("_rows").over(key_day))
         .withColumn("_pos_base", F.sum("_vals").over(line_newer) - F.col("_vals"))
         .withColumn("_n_vals", F.sum("_vals").over(line_all))
     )
-    return days.groupBy("personid", "stat", _DAY).agg(
-        F.max("_rk_base").alias("_rk_base"),
+    per_key_day = line_days.groupBy("personid", "stat", _DAY).agg(
         # bounded by the lines offered for one player/stat
+        F.max("_rk_base").alias("_rk_base"),
         F.collect_list(F.struct("player_name", "line", "team", "_pos_base", "_n_vals")).alias("_lines"),
     )
+    return per_key_day
 
 
 def with_recency(unified: DataFrame) -> DataFrame:
@@ -108,7 +112,8 @@ def with_recency(unified: DataFrame) -> DataFrame:
     * ``pos``: 0-based position of a non-null ``x`` within its line, newest
       first (null for null ``x``); ``n_vals``: non-null values of the line.
     """
-    u = _with_day(unified)
+    gd_type = unified.schema["gamedate"].dataType
+    u = _with_day(unified).drop("gamedate")
     key_day = Window.partitionBy("personid", "stat", _DAY).orderBy(*_in_day_order(), *_line_tie_order())
     line_day = Window.partitionBy(
         "personid", "stat", _DAY, "player_name", "line", "team", F.col("x").isNull()
@@ -116,7 +121,7 @@ def with_recency(unified: DataFrame) -> DataFrame:
     ranked = u.withColumn("_day_rk", F.row_number().over(key_day)).withColumn(
         "_day_pos", F.when(F.col("x").isNotNull(), F.row_number().over(line_day))
     )
-    joined = ranked.join(_day_offsets(u), on=["personid", "stat", _DAY], how="inner")
+    joined = ranked.join(_day_offsets(ranked), on=["personid", "stat", _DAY], how="inner")
     me = F.get(
         F.filter(
             "_lines",
@@ -126,8 +131,10 @@ def with_recency(unified: DataFrame) -> DataFrame:
         ),
         0,
     )
+    missing_day = F.lit("0001-01-01 00:00:00").cast(gd_type)
     out = joined.select(
-        *unified.columns,
+        *[F.when(F.col(_DAY) != missing_day, F.col(_DAY)).alias("gamedate") if c == "gamedate" else F.col(c)
+          for c in unified.columns],
         (F.col("_rk_base") + F.col("_day_rk")).cast("long").alias("rk"),
         (me["_pos_base"] + F.col("_day_pos") - 1).cast("long").alias("pos"),
         me["_n_vals"].cast("long").alias("n_vals"),
