@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linecast.functions.fmt import round_doubles
+from linecast.session import configure
 from linecast.functions.names import with_name_parts
 from linecast.operators import averages, counts, history, reports, resolve, scenario
 from linecast.sinks import append
@@ -289,5 +290,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """Queries wrapped with :func:`finalize`."""
-    return {name: (lambda fn: (lambda spark, d: finalize(fn(spark, d))))(fn) for name, fn in QUERIES.items()}
+    """Queries wrapped with :func:`finalize`; the session gets the runtime
+    settings of :func:`linecast.session.configure` first."""
+    def wrap(fn):
+        def run(spark: SparkSession, d: str) -> DataFrame:
+            configure(spark)
+            return finalize(fn(spark, d))
+        return run
+    return {name: wrap(fn) for name, fn in QUERIES.items()}

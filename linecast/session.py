@@ -30,6 +30,31 @@ BASE_CONF = {
 }
 
 
+# Settings that can change on a running session (SQL confs). Applied by
+# build_session and again by ``configure`` for sessions created elsewhere.
+RUNTIME_KEYS = [
+    "spark.sql.session.timeZone",
+    "spark.sql.adaptive.enabled",
+    "spark.sql.adaptive.coalescePartitions.enabled",
+    "spark.sql.adaptive.skewJoin.enabled",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold",
+    "spark.sql.autoBroadcastJoinThreshold",
+    "spark.sql.codegen.hugeMethodLimit",
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning",
+]
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings the queries rely on (UTC text timestamps,
+    AQE, the JIT-friendly codegen limit) to an existing session."""
+    for k in RUNTIME_KEYS:
+        try:
+            spark.conf.set(k, BASE_CONF[k])
+        except Exception:  # a setting a managed session does not allow to change
+            pass
+    return spark
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "linecast",
