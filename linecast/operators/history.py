@@ -113,7 +113,7 @@ def with_recency(unified: DataFrame) -> DataFrame:
       first (null for null ``x``); ``n_vals``: non-null values of the line.
     """
     gd_type = unified.schema["gamedate"].dataType
-    u = _with_day(unified).drop("gamedate")
+    u = _with_day(unified).drop("gamedate").repartition("personid", "stat", _DAY)
     key_day = Window.partitionBy("personid", "stat", _DAY).orderBy(*_in_day_order(), *_line_tie_order())
     line_day = Window.partitionBy(
         "personid", "stat", _DAY, "player_name", "line", "team", F.col("x").isNull()
@@ -196,7 +196,10 @@ def summarize_lines(unified: DataFrame) -> DataFrame:
     a hot player's rows are spread over its dates, and its dates are bounded
     by the calendar.
     """
-    u = _with_day(unified)
+    # The exchange the windows need anyway, stated explicitly: on large input
+    # Spark would insert this same hash partitioning (so it costs nothing
+    # extra); on a single-split input it still spreads the work over all tasks.
+    u = _with_day(unified).repartition("personid", "stat", _DAY)
     in_day = _in_day_order()
     key_day = Window.partitionBy("personid", "stat", _DAY).orderBy(*in_day, *_line_tie_order())
     line_day_part = ["personid", "stat", _DAY, "player_name", "line", "team", F.col("x").isNull()]
