@@ -186,3 +186,18 @@ def test_ranks_equal_plain_window(spark):
     j = plain.join(ours.select(*keys, "rk"), keys)
     assert j.count() == df.count()
     assert j.filter(F.col("rk") != F.col("rk0")).count() == 0
+
+
+def test_summary_shuffles_history_rows_once(spark):
+    """Plan shape: one exchange of the history rows (by player, stat, date)
+    and one of the per-date rows (by player, stat); no other exchange."""
+    import re
+
+    df = spark.createDataFrame(_history_rows(5), UNIFIED).repartition(4)
+    plan = history.summarize_lines(df)._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"Exchange (\w+)\(([^)]*)\)", plan)
+    keys = [tuple(k.split("#")[0].strip() for k in args.split(",") if "#" in k) for kind, args in exchanges
+            if kind == "hashpartitioning"]
+    assert ("personid", "stat", "_gd") in keys
+    assert ("personid", "stat") in keys
+    assert not any(k == ("personid",) for k in keys)     # never by player alone
