@@ -28,6 +28,11 @@ def dedup_by_key(df: DataFrame, key: list[str] = PREDICTION_KEY) -> DataFrame:
 def new_rows(batch: DataFrame, existing: DataFrame, key: list[str] = PREDICTION_KEY) -> DataFrame:
     """JN5 + DD3 + DD2: rows of ``batch`` whose key is absent from ``existing``.
     A null key part never matches (it is kept, as in the reference)."""
+    if "game_date" in key:
+        # Only stored rows of the batch's dates can match: with a table
+        # partitioned by game_date this semi-join lets dynamic partition
+        # pruning read just those partitions instead of the whole history.
+        existing = existing.join(batch.select("game_date").distinct(), "game_date", "left_semi")
     existing_keys = existing.select(*key).distinct()
     return dedup_by_key(batch.join(existing_keys, on=key, how="left_anti"), key)
 

@@ -41,7 +41,8 @@ def run_once(spark: SparkSession, analysis: Analysis, target_path: str, run_ts:
     preds, sim_s, total_s = with_timings(analysis(ts), start)
     try:
         existing = read_parquet_target(spark, target_path, PREDICTIONS)
-        written = append_new(conform(preds), existing, parquet_writer(target_path))
+        # one game_date partition per daily run; date-filtered reads prune
+        written = append_new(conform(preds), existing, parquet_writer(target_path, partition_by=["game_date"]))
     finally:
         preds.unpersist()
     return {"run_ts": ts, "written": written, "simulation_s": sim_s, "total_s": total_s}
