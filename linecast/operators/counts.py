@@ -19,3 +19,26 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("stage"), "row_count")
              for name, df in stages.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+def locks_stage_counts(props: DataFrame, players: DataFrame, props_with_id: DataFrame, stats: DataFrame,
+                       history: DataFrame, min_deviation: float) -> DataFrame:
+    """Stage counts of the locks job with one pass over the history: the
+    per-line aggregation yields the averages, and its row counts sum to the
+    history count, so history, averages and locks need no separate passes."""
+    from linecast.functions.recommend import deviation_percentage
+    from linecast.functions.stats import stat_value
+    from linecast.schemas import LINE_KEY
+
+    per_line = history.groupBy(*LINE_KEY).agg(
+        F.avg(stat_value("stat")).alias("_pv"), F.count(F.lit(1)).alias("_rows"))
+    tail = per_line.agg(
+        F.sum("_rows").alias("history"),
+        F.count(F.lit(1)).alias("averages"),
+        F.count(F.when(deviation_percentage("_pv", "line") >= F.lit(min_deviation), 1)).alias("locks"),
+    ).select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("stage"), F.coalesce(F.col(n), F.lit(0)).cast("long").alias("row_count"))
+        for n in ["history", "averages", "locks"]
+    ])).alias("_s")).select("_s.*")
+    head = stage_counts({"props": props, "players": players, "props_with_id": props_with_id, "stats": stats})
+    return head.unionByName(tail)

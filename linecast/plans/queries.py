@@ -209,13 +209,8 @@ def q_stage_counts(spark, d):
     players = fx.players(spark, d)
     with_id = resolve.resolve_players(props, players)
     stats = fx.stats(spark, d)
-    hist = averages.line_history(stats, with_id)
-    avgs = averages.stat_averages(hist)
-    locked = averages.locks(averages.with_mean_recommendation(avgs))
-    return counts.stage_counts({
-        "props": props, "players": resolve.dedup_players(players), "props_with_id": with_id,
-        "stats": stats, "history": hist, "averages": avgs, "locks": locked,
-    })
+    return counts.locks_stage_counts(props, resolve.dedup_players(players), with_id, stats,
+                                     averages.line_history(stats, with_id), averages.LOCK_MIN_DEVIATION)
 
 
 # --- reports ---------------------------------------------------------------------
