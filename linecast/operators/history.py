@@ -204,11 +204,13 @@ def summarize_lines(unified: DataFrame) -> DataFrame:
     key_day = Window.partitionBy("personid", "stat", _DAY).orderBy(*in_day, *_line_tie_order())
     line_day_part = ["personid", "stat", _DAY, "player_name", "line", "team", F.col("x").isNull()]
     line_day = Window.partitionBy(*line_day_part).orderBy(*in_day)
-    line_day_rev = Window.partitionBy(*line_day_part).orderBy(*[c.asc() for c in [F.col("gameid"), F.col("row_a"), F.col("row_b")]])
+    line_day_all = Window.partitionBy(*line_day_part)   # same sort as line_day: no extra sort
     r = (
         u.withColumn("_day_rk", F.row_number().over(key_day))
         .withColumn("_p", F.when(F.col("x").isNotNull(), F.row_number().over(line_day)))
-        .withColumn("_q", F.when(F.col("x").isNotNull(), F.row_number().over(line_day_rev)))
+        # position from the oldest end of the (line, date) values
+        .withColumn("_q", F.when(F.col("x").isNotNull(),
+                                 F.count("x").over(line_day_all) - F.col("_p") + 1))
     )
     w_day = F.pow(F.lit(DECAY), F.col("_day_rk") - 1)
     value = F.struct(F.col("_p").alias("p"), F.col("x").alias("x"))
