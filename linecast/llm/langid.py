@@ -23,7 +23,6 @@ that sorts first; repeated rows give repeated rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import math
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -39,76 +38,130 @@ CACHE_WORDS = 1_000_000
 
 _FOLD = bytes(b if 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
-Tree = dict[bytes, tuple[dict[int, float], float]]
-
-
 def words(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
-def build_tree(counts: dict[bytes, int], order: int = ORDER) -> Tree:
-    """context -> (bits by next byte, bits of the escape)."""
-    raw: dict[bytes, dict[int, int]] = defaultdict(lambda: defaultdict(int))
-    for word, n in counts.items():
-        seq = b" " + word + b" "
-        for i in range(1, len(seq)):
-            for o in range(min(i, order) + 1):
-                raw[seq[i - o:i]][seq[i]] += n
-    tree: Tree = {}
-    for ctx, after in raw.items():
-        total, distinct = sum(after.values()), len(after)
-        tree[ctx] = ({b: math.log2((total + distinct) / n) for b, n in after.items()}, math.log2((total + distinct) / distinct))
-    return tree
-
-
-def code_length(tree: Tree, word: bytes, order: int = ORDER) -> float:
-    """Bits that the frozen tree takes for a word and the blank after it."""
-    seq, bits = b" " + word + b" ", 0.0
-    for i in range(1, len(seq)):
-        for o in range(min(i, order), -1, -1):
-            if (node := tree.get(seq[i - o:i])) is None:
-                continue
-            if (b := node[0].get(seq[i])) is not None:
-                bits += b
-                break
-            bits += node[1]
-        else:
-            bits += 8.0
-    return bits
+class Coded:
+    """The bytes of a list of words as coded symbols with their contexts.
+
+    ``b" w1 w2 ... wn "``: a word's symbols are its bytes and the blank after
+    it; its contexts reach back to the blank before it.
+    """
+
+    def __init__(self, found: list[bytes]):
+        self.data = np.frombuffer(b" " + b" ".join(found) + b" ", np.uint8).astype(np.int64)
+        at = np.arange(len(self.data))
+        blank = np.maximum.accumulate(np.where(self.data == 32, at, 0))
+        self.known = at[1:] - blank[:-1]  # context bytes there are for symbol i + 1
+        ends = np.flatnonzero(self.data[1:] == 32)
+        self.starts = np.concatenate([[0], ends[:-1] + 1]) if len(found) else np.zeros(0, np.int64)
+        self.word = np.repeat(np.arange(len(found)), np.diff(np.concatenate([self.starts, [len(self.known)]])) if len(found) else 0)
+
+    def contexts(self, order: int, at: np.ndarray) -> np.ndarray:
+        """Key of the context of ``order`` bytes before each symbol ``at``."""
+        key = np.full(len(at), order, np.int64)
+        for o in range(order, 0, -1):
+            key = key << 8 | self.data[at + 1 - o]
+        return key
+
+    def symbols(self, context: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return context << 8 | self.data[at + 1]
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+    return at, keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
 
 
 class Model:
-    """Trees by language; scores texts with a table of word code lengths."""
+    """Context trees of all languages, flattened by order.
 
-    def __init__(self, trees: dict[str, Tree], order: int = ORDER):
-        self.langs, self.order = sorted(trees), order
-        self.trees = [trees[x] for x in self.langs]
+    ``symbols[o]``: sorted keys (context of o bytes, next byte) seen in any
+    language, with the bits of that byte in every language, escapes to shorter
+    contexts included. ``escapes[o]``: sorted context keys with the bits of an
+    escape in every language (0 where the language lacks the context).
+    """
+
+    def __init__(self, counts: dict[str, dict[bytes, int]], order: int = ORDER):
+        self.langs, self.order = sorted(counts), order
+        self.symbols: list[tuple[np.ndarray, np.ndarray]] = []
+        self.escapes: list[tuple[np.ndarray, np.ndarray]] = []
+        n_langs = len(self.langs)
+        parts = [Coded(list(counts[x])) for x in self.langs]
+        weights = [np.fromiter(counts[x].values(), np.float64, len(counts[x])) for x in self.langs]
+        for o in range(order + 1):
+            keys, n, lang = [], [], []
+            for k, (c, w) in enumerate(zip(parts, weights)):
+                at = np.flatnonzero(c.known >= o)
+                keys.append(c.symbols(c.contexts(o, at), at))
+                n.append(w[c.word[at]])
+                lang.append(np.full(len(at), k))
+            if not keys:
+                break
+            sym, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+            count = np.bincount(inverse * n_langs + np.concatenate(lang), np.concatenate(n), len(sym) * n_langs).reshape(len(sym), n_langs)
+            ctx, of = np.unique(sym >> 8, return_inverse=True)
+            total, distinct = np.zeros((len(ctx), n_langs)), np.zeros((len(ctx), n_langs))
+            np.add.at(total, of, count)
+            np.add.at(distinct, of, count > 0)
+            escape = np.log2((total + distinct) / np.maximum(distinct, 1), where=distinct > 0, out=np.zeros_like(total))
+            seen = np.log2((total + distinct)[of] / np.maximum(count, 1), where=count > 0, out=np.zeros_like(count))
+            if o:
+                tail = (o - 1) << 8 * o | sym & ((1 << 8 * o) - 1)
+                shorter = self.symbols[o - 1][1][_find(self.symbols[o - 1][0], tail)[0]]
+            else:
+                shorter = np.full_like(seen, 8.0)
+            self.symbols.append((sym, np.where(count > 0, seen, escape[of] + shorter)))
+            self.escapes.append((ctx, escape))
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
 
-    def bits(self, text: str) -> np.ndarray:
-        """Code length of the text in each language."""
+    def code_lengths(self, found: list[bytes]) -> np.ndarray:
+        """Bits of each word in each language."""
+        c = Coded(found)
+        bits = np.zeros((len(c.known), len(self.langs)))
+        open_ = np.arange(len(c.known))
+        for o in range(self.order, -1, -1):
+            mine = c.known[open_] >= o
+            at = open_[mine]
+            ctx = c.contexts(o, at)
+            k, hit = _find(self.symbols[o][0], c.symbols(ctx, at))
+            bits[at[hit]] += self.symbols[o][1][k[hit]]
+            k, has = _find(self.escapes[o][0], ctx)
+            has &= ~hit
+            bits[at[has]] += self.escapes[o][1][k[has]]
+            open_ = np.concatenate([open_[~mine], at[~hit]])
+        bits[open_] += 8.0
+        return np.add.reduceat(bits, c.starts) if len(found) else bits[:0]
+
+    def bits(self, texts: list[list[bytes]]) -> np.ndarray:
+        """Code length of each text (as words) in each language."""
         if not hasattr(self, "_row") or len(self._row) > CACHE_WORDS:
             self._row: dict[bytes, int] = {}
-            self._table = np.zeros((1024, len(self.langs)))
-        row, found = self._row, words(text)
-        for w in found:
-            if w not in row:
-                if len(row) == len(self._table):
-                    self._table = np.concatenate([self._table, np.zeros_like(self._table)])
-                self._table[len(row)] = [code_length(t, w, self.order) for t in self.trees]
-                row[w] = len(row)
-        at = np.fromiter(map(row.__getitem__, found), np.int64, len(found))
-        return self._table[at].sum(axis=0)
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.langs or not has_letter(text):
-            return "und", 0.0
-        bits = self.bits(text)
-        best = int(np.argmin(bits))
-        with np.errstate(over="ignore"):
-            return self.langs[best], float(1.0 / np.exp2(np.minimum(bits[best] - bits, 0)).sum())
+            self._table = np.zeros((0, len(self.langs)))
+        new = list({w for t in texts for w in t}.difference(self._row))
+        if new:
+            rows = [self.code_lengths(new[i:i + 50_000]) for i in range(0, len(new), 50_000)]
+            self._row.update(zip(new, range(len(self._row), len(self._row) + len(new))))
+            self._table = np.concatenate([self._table, *rows])
+        out = np.zeros((len(texts), len(self.langs)))
+        for i, t in enumerate(texts):
+            out[i] = self._table[np.fromiter(map(self._row.__getitem__, t), np.int64, len(t))].sum(axis=0)
+        return out
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        out: list[tuple[str, float]] = [("und", 0.0)] * len(texts)
+        scored = [i for i, t in enumerate(texts) if t and self.langs and has_letter(t)]
+        for k in range(0, len(scored), 500):
+            ids = scored[k:k + 500]
+            bits = self.bits([words(texts[i]) for i in ids])
+            best = bits.argmin(axis=1)
+            score = 1.0 / np.exp2(bits.min(axis=1)[:, None] - bits).sum(axis=1)
+            for i, b, s in zip(ids, best, score):
+                out[i] = (self.langs[b], float(s))
+        return out
 
 
 def has_letter(text: str) -> bool:
@@ -141,7 +194,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     by_lang: dict[str, dict[bytes, int]] = defaultdict(dict)
     for lang, word, n in zip(*(counted.column(c).to_pylist() for c in ("lang", "word", "n"))):
         by_lang[lang][word] = n
-    return Model({lang: build_tree(c, order) for lang, c in by_lang.items()}, order)
+    return Model(dict(by_lang), order)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -152,7 +205,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for b in batches:
-            got = [m.predict(t) for t in b.column("text").to_pylist()]
+            got = m.predict(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())], ["id", "lang_pred", "score"])
 
     kind = narrow.schema["id"].dataType.simpleString()
@@ -167,7 +220,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", lang_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for b in batches:
-            got = [m.predict(t) for t in b.column(text_col).to_pylist()]
+            got = m.predict(b.column(text_col).to_pylist())
             cols, i = list(b.columns), b.schema.get_field_index(lang_col)
             cols[i] = pa.array([x[0] for x in got], b.schema.field(i).type)
             kept = pa.array([x[0] != "und" and x[1] >= min_score for x in got], pa.bool_())

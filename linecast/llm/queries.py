@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linecast.llm import langid, mixing, pii
+from linecast.llm import langid, mixing, packing, pii, quality_rules
 from linecast.llm.common import crc_mod, table
 
 
@@ -21,6 +21,18 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "reps")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")))
+    base = F.col("failed").bitwiseAND(F.lit(quality_rules.POLICIES["base"])) != 0
+    return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept")
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(crc_mod("doc_id", 4) != 2))
@@ -30,7 +42,11 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_pii": op4_pii,
     "op5_mixing": op5_mixing,
+    "op6_packing": op6_packing,
+    "op7_quality_rules": op7_quality_rules,
     "op9_langid": op9_langid,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_quality_rules": quality_rules.ORACLE_SQL,
+}
