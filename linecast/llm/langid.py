@@ -13,8 +13,9 @@ The predicted language is the one with the shortest code; its score is the
 posterior 2^-bits / sum(2^-bits) over the learned languages.
 
 The trees are learned from at most ``max_docs_per_lang`` documents of each
-language (the smallest by hash of the id; whole texts). That bound also bounds
-the model, which is sent to the executors. Scoring covers every whole text.
+language (the smallest by hash of the id; whole texts) and of the
+``max_langs`` most frequent languages. These bounds also bound the model,
+which is sent to the executors. Scoring covers every whole text.
 
 Defined results: null text, or text without a letter, gives ``und`` with score
 0; with no learned language every text gives ``und``; ties go to the language
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 ORDER = 4
 MAX_DOCS_PER_LANG = 300
+MAX_LANGS = 1000
 #: Words whose code lengths a Python worker keeps; beyond it the table starts anew.
 CACHE_WORDS = 1_000_000
 
@@ -168,18 +170,23 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs_per_lang: int = MAX_DOCS_PER_LANG, order: int = ORDER) -> Model:
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs_per_lang: int = MAX_DOCS_PER_LANG, max_langs: int = MAX_LANGS, order: int = ORDER) -> Model:
     """Learn the trees from the rows of ``labelled`` with a language.
 
     Spark picks the sample and counts its words; the driver receives word
     counts of at most ``max_docs_per_lang`` documents per language.
     """
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "text")
-    sample = (
+    rows = (
         labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
         .where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-        .withColumn("n", F.row_number().over(first)).where(F.col("n") <= max_docs_per_lang)
     )
+    # A language's share of the hash range that holds about 8 times the wanted
+    # documents goes on, so what is ranked stays small at every input size.
+    # Broadcast: at most max_langs rows.
+    langs = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).orderBy(F.desc("docs"), "lang").limit(max_langs)
+    low = F.shiftrightunsigned(F.xxhash64("id"), 11) < F.least(F.lit(1.0), F.lit(8.0 * max_docs_per_lang) / F.col("docs")) * float(1 << 53)
+    first = Window.partitionBy("lang").orderBy(F.shiftrightunsigned(F.xxhash64("id"), 11), "id", "text")
+    sample = rows.join(F.broadcast(langs), "lang").where(low).withColumn("n", F.row_number().over(first)).where(F.col("n") <= max_docs_per_lang)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: dict[tuple[str, bytes], int] = defaultdict(int)

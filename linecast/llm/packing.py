@@ -230,6 +230,32 @@ def evolve(size: list[int], migrants: Bins, seed: int, capacity: int = CAPACITY,
     return max(people, key=lambda p: p.fitness).bins
 
 
+def _island(id_col: str, epoch: int, last: bool, capacity: int, seed: int):
+    """The function that packs one island's rows in one epoch."""
+
+    def island(key, rows):
+        rows = rows.drop_columns(["_island"])
+        rows = rows.sort_by([("sequence_id", "ascending"), ("length", "descending"), ("_h", "ascending"), ("ids_crc32", "ascending"), ("start", "ascending")])
+        size, came = rows["length"].to_pylist(), rows["sequence_id"].to_pylist()
+        migrants: dict[int, list[int]] = {}
+        for i, k in enumerate(came):
+            if k is not None:
+                migrants.setdefault(k, []).append(i)
+        number = key[0].as_py()
+        bins = evolve(size, list(migrants.values()), seed * 1_000_003 + 131 * epoch + number, capacity)
+        bin_of, offset, final = [0] * len(size), [0] * len(size), [False] * len(size)
+        for k, b in enumerate(bins):
+            at, done = 0, last or fill(b, size) >= WELL_FILLED * capacity
+            for i in b:
+                # A bin's number is unique over epochs, islands and bins.
+                bin_of[i], offset[i], final[i] = (epoch << 58) + (number << 20) + k, at, done
+                at += size[i]
+        rows = rows.drop_columns(["sequence_id"])
+        return rows.append_column("sequence_id", pa.array(bin_of, pa.int64())).append_column("offset", pa.array(offset, pa.int64())).append_column("final", pa.array(final, pa.bool_()))
+
+    return island
+
+
 def pack(cut: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, island_size: int = ISLAND_SIZE, epochs: int = EPOCHS, seed: int = 7) -> DataFrame:
     """``cut`` (rows of ``pieces``, lengths up to ``capacity``) -> the same rows
     with ``sequence_id`` and ``offset``."""
@@ -245,29 +271,10 @@ def pack(cut: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, islan
     for epoch in range(epochs):
         islands = max(1, -(-todo.count() // island_size))
         last = islands == 1 or epoch == epochs - 1
-
-        def island(key, rows, epoch=epoch, last=last):
-            rows = rows.drop_columns(["_island"]) if "_island" in rows.column_names else rows
-            rows = rows.sort_by([("sequence_id", "ascending"), ("length", "descending"), ("_h", "ascending"), ("ids_crc32", "ascending"), ("start", "ascending")])
-            size, came = rows["length"].to_pylist(), rows["sequence_id"].to_pylist()
-            migrants: dict[int, list[int]] = {}
-            for i, k in enumerate(came):
-                if k is not None:
-                    migrants.setdefault(k, []).append(i)
-            number = key[0].as_py()
-            bins = evolve(size, list(migrants.values()), seed * 1_000_003 + 131 * epoch + number, capacity)
-            bin_of, offset, final = [0] * len(size), [0] * len(size), [False] * len(size)
-            for k, b in enumerate(bins):
-                at, done = 0, last or fill(b, size) >= WELL_FILLED * capacity
-                for i in b:
-                    # A bin's number is unique over epochs, islands and bins.
-                    bin_of[i], offset[i], final[i] = (epoch << 58) + (number << 20) + k, at, done
-                    at += size[i]
-            rows = rows.drop_columns(["sequence_id"])
-            return rows.append_column("sequence_id", pa.array(bin_of, pa.int64())).append_column("offset", pa.array(offset, pa.int64())).append_column("final", pa.array(final, pa.bool_()))
-
-        deal = F.pmod(F.xxhash64(F.lit(epoch), F.coalesce("sequence_id", "_h")), F.lit(islands)).cast("long")
-        packed = materialize(todo.withColumn("_island", deal).groupBy("_island").applyInArrow(island, fields), f"packing-epoch{epoch}")
+        # Rows are dealt one by one at first (equal rows must not meet in one island), then bin by bin.
+        mark = F.xxhash64(F.lit(epoch), "sequence_id") if epoch else F.xxhash64("_h", F.monotonically_increasing_id())
+        deal = F.pmod(mark, F.lit(islands)).cast("long")
+        packed = materialize(todo.withColumn("_island", deal).groupBy("_island").applyInArrow(_island(id_col, epoch, last, capacity, seed), fields), f"packing-epoch{epoch}")
         out = out.unionByName(packed.where("final").select(*columns, "sequence_id", "offset"))
         if last:
             break

@@ -9,10 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linecast.llm import langid, mixing, packing, pii, quality_rules
+from linecast.llm import chat, langid, mixing, packing, pii, quality_classifier, quality_rules
 from linecast.llm.common import crc_mod, table
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_classifier.fit(docs, labels.where(crc_mod("doc_id", 5) != 0))
+    scored = quality_classifier.score(docs, model)
+    return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
 
@@ -33,6 +40,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept")
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = r"\### Assistant: </turn> ok"
+    extra = spark.range(0, 2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
+    return chat.read_back(chat.format_conversations(rows.unionByName(extra), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(crc_mod("doc_id", 4) != 2))
@@ -40,10 +56,12 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op4_pii": op4_pii,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_chat": op8_chat,
     "op9_langid": op9_langid,
 }
 
