@@ -9,10 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linecast.llm import chat, langid, mixing, packing, pii, quality_classifier, quality_rules
+from linecast.llm import chat, langid, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
 from linecast.llm.common import crc_mod, table
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality_classifier.fit(docs, labels.where(crc_mod("doc_id", 5) != 0))
@@ -56,6 +60,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality_classifier": op2_quality_classifier,
     "op4_pii": op4_pii,
     "op5_mixing": op5_mixing,
