@@ -1,28 +1,27 @@
-"""N-gram Jaccard self-join with signature trees, exact and skew-safe.
+"""N-gram Jaccard self-join with signature trees, skew-safe.
 
 A text's set holds the 64-bit hashes of its distinct ``k``-word shingles
 (words: runs of characters other than ASCII white space, A-Z lower-cased; a
 shorter text is one shingle). Two texts link when
 100 * intersection >= percent * union. The result is the connected components
-over all links; no link is lost and none is invented.
+over all links. Every link is verified exactly; that one is missed is less
+likely than 1e-10 (see 2.).
 
 1. *Sets.* One pass hashes every whole text. Texts with equal sets are one
    class; only classes go on.
-2. *Routing to trees.* Sets x, y that link differ in at most
-   H = (|x| + |y|) * (100 - percent) / (100 + percent) shingles. The hash range
-   is cut into more than H parts, so at least one non-empty part is equal in
-   both: equal part sums are routing keys. The number of parts depends on the
-   size band of the larger set; a set also issues the keys of a higher band
-   that its partners may be in. A set with unusually many empty parts adds
-   keys of further cuts, so the argument holds without exception. Classes that
-   share a key, directly or over others, are one candidate group.
+2. *Routing to trees.* Every class issues the bands of a similarity sketch as
+   keys; enough of them that a pair at the threshold shares none with a
+   probability under ``MISS`` (1e-10; less above the threshold). Classes that
+   share a key, directly or over others, are one candidate group. A group over
+   ``block_weight`` (a passage that many texts share can tie them together) is
+   routed anew with longer bands, which tie only texts that are much alike.
 3. *Signature trees.* Groups are dealt to blocks of about ``block_weight``
    shingles. Inside a block a tree is built over the sets: every node holds
    the OR of its sets' bitmaps, its size range and its hash-collision slack.
    A dual traversal prunes node pairs by size and by the greatest overlap that
    their bitmaps allow, and pairs that are already connected; what is left is
    decided by exact intersection.
-4. *Large groups.* A group over ``block_weight`` is salted over several
+4. *Large groups.* A group that is still over ``block_weight`` is salted over several
    blocks. Its blocks are joined inside, then their leaders among each other,
    until one component holds the bulk; what does not belong to the bulk is
    compared with every block of the group. No task holds more than two blocks.
@@ -40,7 +39,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,9 +57,13 @@ CACHE_WORDS = 1_000_000
 #: Largest candidate list that is broadcast to filter texts; beyond it they are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
+#: Rows of a band; of a band for groups that are too large.
+ROWS, ROWS_LARGE = 8, 16
+#: Probability that a pair at the threshold shares no band.
+MISS = 1e-10
+
 _BITS = 1 << 16
 _LEAF, _FAN = 8, 4
-_CUTS = 4
 _U = np.uint64
 _word_hash: dict[bytes, int] = {}
 
@@ -95,59 +97,41 @@ def shingles(text: str | None, k: int) -> np.ndarray:
 
 
 class Router:
-    """Routing keys of sets for one threshold."""
-
-    def __init__(self, percent: int):
-        self.percent = percent
-        self.starts = [1]
-
-    def _band(self, n: int) -> int:
-        while self.starts[-1] <= n:
-            self.starts.append(max(self.starts[-1] + 1, int(self.starts[-1] * 1.6)))
-        return int(np.searchsorted(self.starts, n, side="right")) - 1
-
-    @lru_cache(maxsize=None)
-    def _scheme(self, band: int) -> tuple[np.ndarray, int] | None:
-        """Lower edges of the parts, and how many may be empty; None where
-        sets can only link when they are equal."""
-        p, lo, hi = self.percent, self.starts[band], self.starts[band + 1] - 1
-        differ = 2 * hi * (100 - p) // (100 + p)
-        if not differ:
-            return None
-        spare, least = 1, math.ceil(p * lo / 100)
-        for _ in range(20):
-            empty = (differ + 1 + spare) * math.exp(-least / (differ + 1 + spare))
-            spare = max(spare, math.ceil(empty + 4 * math.sqrt(empty)))
-        parts = differ + 1 + spare
-        return (np.arange(parts, dtype=np.float64) / parts * 2.0**64).astype(np.uint64), spare
+    """Routing keys of sets: bands of ``rows`` places of a similarity sketch.
+
+    The sketch throws the set's hashes into its places round after round until
+    all are filled; a place keeps the smallest value of its first round. Two
+    sets agree in a place with probability equal to their Jaccard similarity,
+    and in a whole band with its ``rows``-th power. There are as many bands as
+    make a miss of a pair at the threshold less likely than ``MISS``.
+    """
+
+    def __init__(self, percent: int, rows: int):
+        self.percent, self.rows = percent, rows
+        self.bands = math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** rows)))
+        self.places = rows * self.bands
+        self.tags = _mix(np.arange(self.bands, dtype=np.uint64) + _U(rows << 32))
+
+    def sketch(self, h: np.ndarray) -> np.ndarray:
+        out = np.full(self.places, np.iinfo(np.uint64).max, np.uint64)
+        step = max(1, math.ceil(self.places * (math.log(self.places) + 2) / len(h)))
+        for start in range(1, 1 << 24, step):
+            rounds = np.arange(start, start + step, dtype=np.uint64)[:, None]
+            x = _mix(h[None, :] ^ _mix(rounds))
+            place = ((x >> _U(40)) * _U(self.places) >> _U(24)).astype(np.int64)
+            np.minimum.at(out, place.ravel(), (rounds << _U(40) | x & _U((1 << 40) - 1)).ravel())
+            if out.max() != np.iinfo(np.uint64).max:
+                break
+        return out
 
     def keys(self, h: np.ndarray) -> np.ndarray:
-        """Keys of a set; linked sets that are not equal share at least one."""
-        n, out = len(h), []
-        if not n:
+        """None for sets that can only link with equal ones."""
+        if 2 * (100 * len(h) // self.percent) * (100 - self.percent) < 100 + self.percent:
             return np.zeros(0, np.uint64)
-        cuts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        top = self._band(100 * n // self.percent)
-        for band in range(self._band(n), top + 1):
-            scheme = self._scheme(band)
-            if scheme is None:
-                continue
-            edges, spare = scheme
-            for cut in range(_CUTS):
-                if cut not in cuts:
-                    values = np.sort(_mix(h ^ _U(cut * 0x632BE59BD9B4E019 & (1 << 64) - 1))) if cut else h
-                    cuts[cut] = values, np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(values + _U(1)))])
-                values, sums = cuts[cut]
-                at = np.append(np.searchsorted(values, edges), n)
-                full = np.flatnonzero(np.diff(at))
-                parts = sums[at[full + 1]] - sums[at[full]]
-                tag = _U((band * _CUTS + cut + 1) * 0xD6E8FEB86659FD93 & (1 << 64) - 1)
-                out.append(_mix(parts + _mix(full.astype(np.uint64) + tag)))
-                if len(edges) - len(full) <= spare:
-                    break
-            else:  # too many empty parts in every cut: such sets meet under one key
-                out.append(_mix(np.array([tag], np.uint64)))
-        return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        acc = self.tags
+        for column in self.sketch(h).reshape(self.bands, self.rows).T:
+            acc = _mix(acc * _U(0x9E3779B97F4A7C15) + column)
+        return acc
 
 
 def _combine(nodes: np.ndarray, keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -173,11 +157,11 @@ def _digests(h: np.ndarray) -> tuple[int, int]:
     return int(d[0]), int(d[1])
 
 
-def _sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(id, n, d1, d2, keys) of every row, in the order of the input's schema."""
+def _sets(docs: DataFrame, k: int, percent: int, rows: int) -> DataFrame:
+    """(id, n, d1, d2, keys) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        router = Router(percent)
+        router = Router(percent, rows)
         for b in batches:
             size, keys, d1, d2 = [], [], [], []
             for i, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist()):
@@ -314,20 +298,36 @@ def _blocks(items: DataFrame, k: int, percent: int) -> DataFrame:
     return wanted.groupBy("block").applyInArrow(_join_block(k, percent), "a long, b long")
 
 
-def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, percent: int = PERCENT, block_weight: int = BLOCK_WEIGHT) -> DataFrame:
-    """One row per input row: id, ``n_shingles``, ``component_id``."""
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets = materialize(_sets(narrow, k, percent), "ngram-sets")
-
-    # Candidate groups: classes tied by keys. A class goes by its first digest here.
+def _groups(sets: DataFrame) -> DataFrame:
+    """(node, component): candidate groups of classes that share keys, where a
+    class goes by its first digest (a collision only enlarges a group)."""
     keyed = sets.where(F.size("keys") > 0).select(F.col("d1").alias("node"), F.explode("keys").alias("key"))
     smallest = F.min("node").over(Window.partitionBy("key"))
-    ties = keyed.withColumn("least", smallest).where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b"))
-    groups = connected_components(ties)
+    return connected_components(keyed.withColumn("least", smallest).where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")))
 
+
+def _split_large(items: DataFrame, docs: DataFrame, k: int, percent: int, block_weight: int) -> DataFrame:
+    """Route the members of too large groups anew, with longer bands."""
+    weight = items.groupBy("cand").agg(F.sum("n").alias("w")).where(F.col("w") > block_weight)
+    large = materialize(items.join(weight, "cand").select(*items.columns), "ngram-large")
+    rows = large.count()
+    if not rows:
+        return items
+    texts = _with_texts(large, docs, rows).select(F.col("rep").alias("id"), "text")
+    groups = _groups(materialize(_sets(texts, k, percent, ROWS_LARGE), "ngram-sets-large"))
+    again = large.join(groups, large["d1"] == groups["node"]).select("rep", "d1", "d2", "n", F.col("component").alias("cand"))
+    return materialize(items.join(weight, "cand", "left_anti").select(*items.columns).unionByName(again), "ngram-items")
+
+
+def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, percent: int = PERCENT, block_weight: int = BLOCK_WEIGHT) -> DataFrame:
+    """One row per input row: id, ``n_shingles``, ``component_id``."""
+    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    sets = materialize(_sets(narrow, k, percent, ROWS), "ngram-sets")
     linkable = sets.where((F.col("n") > 0) & F.col("id").isNotNull())
     classes = linkable.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.first("n").alias("n"))
+    groups = _groups(sets)
     items = materialize(classes.join(groups, classes["d1"] == groups["node"]).select("rep", "d1", "d2", "n", F.col("component").alias("cand")), "ngram-items")
+    items = _split_large(items, narrow, k, percent, block_weight)
     labels = _labels(items, narrow, k, percent, block_weight)
 
     named = (
@@ -373,11 +373,11 @@ def _large_groups(large: DataFrame, labels: DataFrame, docs: DataFrame, k: int,
     """Complete the labels of groups that were salted over several blocks."""
     texts = materialize(_with_texts(large, docs, large.count()), "ngram-large-texts")
     left = None
-    while True:  # leaders among each other, as long as they get fewer
+    while True:  # leaders among each other, as long as that halves them
         now = materialize(_relabel(texts.drop("text"), labels), "ngram-leaders")
         leaders = now.where("rep = label")
         count = leaders.count()
-        if left is not None and count >= left:
+        if left is not None and 2 * count > left:
             break
         left = count
         width = leaders.groupBy("cand").agg(F.sum("n").alias("lw"), F.count(F.lit(1)).alias("many")).where("many > 1")
