@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linecast.llm import chat, langid, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
+from linecast.llm import chat, embedding_dedup, langid, licenses, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
 from linecast.llm.common import crc_mod, table
 
 
@@ -24,6 +24,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
 
@@ -59,15 +63,22 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.summarize(docs, licenses.find_licenses(docs, licenses.fit(docs)))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_pii": op4_pii,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_chat": op8_chat,
     "op9_langid": op9_langid,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLE_SQL: dict[str, str] = {
