@@ -2,14 +2,29 @@
 
 Written independently of the DataFrame code: plain SQL over the driver's
 tables (``supplier``, ``lineitem``, ...), with the fixture relations as CTEs.
+Model constants (stat lookup, thresholds, deviations, clamps, ranks) are
+literals here, so a wrong one in the library shows as a mismatch. Only the
+random generator's own parameters are shared.
 Output columns and presentation match :func:`linecast.plans.queries.finalize`:
 doubles through ``floor(x * 1e6 + 0.5) / 1e6``, dates and timestamps as text.
 """
 
 from __future__ import annotations
 
-from linecast.functions.stats import stat_value_sql
-from linecast.sources.fixtures import POINTS_LINE_DELTAS, PROP_GAME_DATE, PROP_LINES, PROP_STATS
+# Fixture design (see FIXTURES.md).
+PROP_STATS = ["points", "assists", "rebounds", "steals", "blocks", "threes", "turnovers"]
+PROP_LINES = [24.5, 7.5, 5.5, 1.5, 0.5, 1.5, 22.5]
+POINTS_LINE_DELTAS = [0.0, 1.0, -0.2]
+PROP_GAME_DATE = "2024-01-01"
+
+
+def stat_value_sql(stat: str) -> str:
+    return (
+        f"CAST(CASE {stat} WHEN 'assists' THEN assists WHEN 'rebounds' THEN reboundstotal WHEN 'steals' THEN steals "
+        f"WHEN 'blocks' THEN blocks WHEN 'threes' THEN threepointersmade WHEN '3pm' THEN threepointersmade "
+        f"ELSE points END AS DOUBLE)"
+    )
+
 
 RUN_TS = "2024-01-02 00:00:00"
 RUN_DATE = RUN_TS[:10]
@@ -211,18 +226,21 @@ SELECT {_K}, {r6('base_avg')} AS base_avg, game_count, is_elite FROM model""")
 # Same seeded integer generator as linecast.functions.rng, written as SQL.
 
 from linecast.functions import rng as _rng  # noqa: E402
-from linecast.operators import scenario as _sc  # noqa: E402
 
 SEED = 42
-N_DRAWS = _sc.DRAWS_PER_PREDICTION
+N_DRAWS = 500_000
 _P = _rng.MOD
-from linecast.operators.history import SHORT_HISTORY as _SHORT  # noqa: E402
+_SHORT = 5
+_DAILY = ["daily_form", "injury_concern", "matchup_factor", "rest_factor"]
+# (deviation, low, high) per daily factor: tight stats, other stats
+_DAILY_TIGHT = [(0.02, 0.95, 1.05), (0.01, 0.97, 1.03), (0.02, 0.93, 1.07), (0.01, 0.97, 1.03)]
+_DAILY_OTHER = [(0.03, 0.92, 1.08), (0.02, 0.95, 1.05), (0.04, 0.90, 1.10), (0.02, 0.95, 1.05)]
 
 
-def _mix_ctes(prefix: str, src: str, cols: list[str]) -> tuple[str, str]:
+def _mix_ctes(prefix: str, src: str, cols: list[str], rounds) -> tuple[str, str]:
     """CTE chain applying the mixing rounds to ``cols``; returns (sql, last name)."""
     parts, prev = [], src
-    for i, (m, c, sh) in enumerate(_rng.ROUNDS):
+    for i, (m, c, sh) in enumerate(rounds):
         a, b = f"{prefix}m{i}a", f"{prefix}m{i}b"
         rep_a = ", ".join(f"({x} * {m} + {c}) % {_P} AS {x}" for x in cols)
         rep_b = ", ".join(f"xor({x}, {x} >> {sh}) AS {x}" for x in cols)
@@ -241,49 +259,53 @@ def _bm(u1: str, u2: str) -> tuple[str, str]:
     return f"{r} * cos({_rng.TWO_PI!r} * {u2})", f"{r} * sin({_rng.TWO_PI!r} * {u2})"
 
 
-def _floor_min_sql() -> str:
-    from linecast.functions.stats import DEFAULT_FLOOR_MINIMUM, FLOOR_MINIMUMS
+_FLOOR_MIN = (
+    "CASE WHEN stat = 'points' THEN 2.0 WHEN stat = 'assists' THEN 1.0 WHEN stat IN ('rebounds', 'reboundstotal') THEN 1.5 "
+    "WHEN stat = 'steals' THEN 0.3 WHEN stat = 'blocks' THEN 0.2 ELSE 0.5 END::DOUBLE"
+)
 
-    arms = " ".join(
-        "WHEN stat IN (" + ", ".join(f"'{n}'" for n in names) + f") THEN CAST({v} AS DOUBLE)"
-        for names, v in FLOOR_MINIMUMS
-    )
-    return f"CASE {arms} ELSE CAST({DEFAULT_FLOOR_MINIMUM} AS DOUBLE) END"
+
+def _draw_ids(n_draws: int, branches: int = 8) -> str:
+    """All draw ids as a union of ranges: DuckDB runs the branches in parallel."""
+    ends = [n_draws * i // branches for i in range(branches + 1)]
+    return " UNION ALL ".join(f"SELECT range AS draw_id FROM range({a}, {b})" for a, b in zip(ends, ends[1:]))
 
 
 def scenario_ctes(n_draws: int = N_DRAWS, seed: int = SEED) -> str:
-    s_cols = [f"s{t}" for t in range(_sc.DRAW_STREAMS + _sc.DAILY_STREAMS)]
-    seeds = ", ".join(
-        f"((ki * {_rng.KEY_MULT}) % {_P} + {((t + 1) * _rng.STREAM_MULT) % _P}) % {_P} AS s{t}"
-        for t in range(len(s_cols))
-    )
-    mix_keys, keys_last = _mix_ctes("k", "sc_seed", s_cols)
+    def seed_of(word: int, stream: int) -> str:
+        return f"((k{word} * {_rng.KEY_MULT}) % {_P} + {((stream + 1) * _rng.STREAM_MULT) % _P}) % {_P}"
+
+    s_cols = [f"s{t}" for t in range(10)]
+    b_cols = [f"b{t}" for t in range(6)]
+    seeds = ", ".join([f"{seed_of(0, t)} AS {c}" for t, c in enumerate(s_cols)] + [f"{seed_of(1, t)} AS {c}" for t, c in enumerate(b_cols)]
+                      + [f"{seed_of(2, 0)} AS pa, {seed_of(3, 1)} AS pb"])
+    mix_keys, keys_last = _mix_ctes("k", "sc_seed", [*s_cols, *b_cols, "pa", "pb"], _rng.ROUNDS)
     dz = []
     for p in range(2):
-        a, b = _bm(_u(f"s{_sc.DRAW_STREAMS + 2 * p}"), _u(f"s{_sc.DRAW_STREAMS + 2 * p + 1}"))
+        a, b = _bm(_u(f"s{6 + 2 * p}"), _u(f"s{7 + 2 * p}"))
         dz += [a, b]
     factors = []
-    for i, (name, (t, n)) in enumerate(_sc.DAILY_FACTORS.items()):
+    for i, (name, t, n) in enumerate(zip(_DAILY, _DAILY_TIGHT, _DAILY_OTHER)):
         factors.append(
             f"CASE WHEN tight THEN greatest(CAST({t[1]} AS DOUBLE), least(CAST({t[2]} AS DOUBLE), 1.0 + dz{i} * {t[0]})) "
             f"ELSE greatest(CAST({n[1]} AS DOUBLE), least(CAST({n[2]} AS DOUBLE), 1.0 + dz{i} * {n[0]})) END AS {name}"
         )
-    u_cols = [f"u{t}" for t in range(_sc.DRAW_STREAMS)]
-    mix_draws, draws_last = _mix_ctes("d", "sc_d0", u_cols)
+    u_cols = [f"u{t}" for t in range(6)]
+    mix_draws, draws_last = _mix_ctes("d", "sc_d0", u_cols, _rng.ROUNDS[:3])
     zs = []
     for p in range(3):
         a, b = _bm(_u(f"u{2 * p}"), _u(f"u{2 * p + 1}"))
         zs += [f"{a} AS z{2 * p}", f"{b} AS z{2 * p + 1}"]
-    i1, i2, i3 = _sc.ELITE_IMPACT_SD
-    ts_, ns_ = _sc.TIGHT_GAME_SD, _sc.NORMAL_GAME_SD
+    # injury, motivation, referee, trend
+    ts_, ns_ = (0.02, 0.03, 0.01, 0.02), (0.04, 0.05, 0.02, 0.04)
     daily_mult = " * daily_form * injury_concern * matchup_factor * rest_factor"
 
     def regular(sd):
         return (f"sample * (1.0 + z1 * {sd[0]}) * (1.0 + z2 * {sd[1]}) * (1.0 + z3 * {sd[2]})"
                 f" * (trend + z4 * {sd[3]}){daily_mult}")
 
-    eh, ec = _sc.STREAK_ELITE["hot"], _sc.STREAK_ELITE["cold"]
-    rh, rc = _sc.STREAK_REGULAR["hot"], _sc.STREAK_REGULAR["cold"]
+    # streak multipliers: (mean, deviation) hot and cold, elite and regular players
+    eh, ec, rh, rc = (1.03, 0.02), (0.98, 0.02), (1.08, 0.04), (0.93, 0.04)
     return f"""
 , sc_in AS (
   SELECT *, stat IN ('threes', '3pm', 'threepointersmade', 'steals') AS tight,
@@ -291,28 +313,29 @@ def scenario_ctes(n_draws: int = N_DRAWS, seed: int = SEED) -> str:
                        coalesce(stat, '~'), coalesce(CAST(CAST(line AS DECIMAL(18,4)) AS VARCHAR), '~'),
                        coalesce(team, '~'), '{seed}')) AS h
   FROM model WHERE game_count >= {_SHORT}),
-sc_seed AS (SELECT *, {seeds} FROM (SELECT *, CAST(('0x' || substr(h, 1, 7)) AS BIGINT) AS ki FROM sc_in) q),
+sc_seed AS (SELECT *, {seeds} FROM (SELECT *, {", ".join(f"CAST(('0x' || substr(h, {1 + 7 * i}, 7)) AS BIGINT) AS k{i}" for i in range(4))} FROM sc_in) q),
 {mix_keys},
 sc_dz AS (SELECT *, {dz[0]} AS dz0, {dz[1]} AS dz1, {dz[2]} AS dz2, {dz[3]} AS dz3 FROM {keys_last}),
 sc_inputs AS (
   SELECT personid, player_name, stat, line, team, base_avg, trend, is_elite, tight, streak,
          greatest(std_dev, base_avg * 0.1) AS sd_eff,
-         CASE WHEN is_elite THEN base_avg * 0.6 ELSE greatest(base_avg * 0.5, {_floor_min_sql()}) END AS fl,
+         CASE WHEN is_elite THEN base_avg * 0.6 ELSE greatest(base_avg * 0.5, {_FLOOR_MIN}) END AS fl,
          greatest(max_val, base_avg * 3.0) AS ce,
          {", ".join(factors)},
-         s0, s1, s2, s3, s4, s5
+         s0, s1, s2, s3, s4, s5, b0, b1, b2, b3, b4, b5,
+         pa % {_P - 1} + 1 AS pa, pb % {_rng.MOD_B - 1} + 1 AS pb
   FROM sc_dz),
 sc_d0 AS (
   SELECT personid, player_name, stat, line, team, base_avg, trend, is_elite, tight, streak, sd_eff, fl, ce,
          daily_form, injury_concern, matchup_factor, rest_factor, d.draw_id,
-         {", ".join(f"(s{t} + ((d.draw_id + 1) * {_rng.DRAW_MULT}) % {_P}) % {_P} AS u{t}" for t in range(6))}
-  FROM sc_inputs, range(0, {n_draws}) d(draw_id)),
+         {", ".join(f"(s{t} + ((d.draw_id + 1) * pa) % {_P}) % {_P} + (b{t} + ((d.draw_id + 1) * pb) % {_rng.MOD_B}) % {_rng.MOD_B} AS u{t}" for t in range(6))}
+  FROM ({_draw_ids(n_draws)}) d, sc_inputs),
 {mix_draws},
 sc_z AS (SELECT * EXCLUDE ({", ".join(u_cols)}), {", ".join(zs)} FROM {draws_last}),
 sc_v0 AS (
   SELECT *, base_avg + z0 * sd_eff AS sample,
-         greatest(CAST(-{_sc.ELITE_IMPACT_CAP} AS DOUBLE), least(CAST({_sc.ELITE_IMPACT_CAP} AS DOUBLE),
-                  z1 * {i1} + z2 * {i2} + z3 * {i3} + (trend - 1.0) * {_sc.ELITE_TREND_SHARE})) AS impact
+         greatest(CAST(-0.15 AS DOUBLE), least(CAST(0.15 AS DOUBLE),
+                  z1 * 0.02 + z2 * 0.03 + z3 * 0.01 + (trend - 1.0) * 0.6)) AS impact
   FROM sc_z),
 sc_v1 AS (
   SELECT *, CASE WHEN is_elite THEN sample * (1.0 + impact){daily_mult}
@@ -327,15 +350,15 @@ sc_draws AS (
   SELECT personid, player_name, stat, line, team, draw_id,
          least(greatest(CASE WHEN mult IS NULL THEN v_raw ELSE v_raw * mult END, fl), ce) AS v
   FROM sc_v1),
-sc_summary AS (
+sc_sorted AS (
   -- quantile_disc returns the element at 0-based index ceil(n * q) - 1, so
   -- q = (k + 0.5) / N selects exactly sorted[k] with k = int(0.1 N), int(0.9 N)
   SELECT personid, player_name, stat, line, team,
          avg(v) AS predicted_value,
          CAST(sum(CASE WHEN v > line THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS probability_over,
-         quantile_disc(v, {(_sc.order_stat_ranks(n_draws)[0] - 1 + 0.5) / n_draws!r}) AS confidence_low,
-         quantile_disc(v, {(_sc.order_stat_ranks(n_draws)[1] - 1 + 0.5) / n_draws!r}) AS confidence_high
+         quantile_disc(v, [{(int(0.1 * n_draws) + 0.5) / n_draws!r}, {(int(0.9 * n_draws) + 0.5) / n_draws!r}]) AS q
   FROM sc_draws GROUP BY personid, player_name, stat, line, team),
+sc_summary AS (SELECT * EXCLUDE (q), q[1] AS confidence_low, q[2] AS confidence_high FROM sc_sorted),
 sc_short AS (
   SELECT personid, player_name, stat, line, team, base_avg AS predicted_value, CAST(0.5 AS DOUBLE) AS probability_over,
          base_avg * 0.8 AS confidence_low, base_avg * 1.2 AS confidence_high
@@ -358,7 +381,7 @@ _PV = f"{r6('predicted_value')} AS predicted_value, {r6('probability_over')} AS
       f"{r6('confidence_low')} AS confidence_low, {r6('confidence_high')} AS confidence_high"
 
 Q["daily_factors"] = with_views(_SC + f"""
-SELECT {_K}, {", ".join(f"{r6(n)} AS {n}" for n in _sc.DAILY_FACTORS)} FROM sc_inputs""")
+SELECT {_K}, {", ".join(f"{r6(n)} AS {n}" for n in _DAILY)} FROM sc_inputs""")
 
 Q["scenario_draws"] = with_views(_SC + f"""
 SELECT {_K}, count(*) AS n_draws, {r6('min(v)')} AS min_v, {r6('max(v)')} AS max_v, {r6('avg(v)')} AS mean_v
