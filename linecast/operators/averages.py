@@ -4,8 +4,6 @@
 from __future__ import annotations
 
 import datetime as _dt
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,33 +22,35 @@ def with_stat_value(history: DataFrame) -> DataFrame:
     return history.withColumn("x", stat_value("stat"))
 
 
+def named_stats(history: DataFrame) -> DataFrame:
+    """FLT2: rows whose line names a statistic. The per-stat jobs drop lines
+    without one (their stat filter never matches null); the batch job keeps them."""
+    return history.filter(F.col("stat").isNotNull())
+
+
 def stat_averages(history: DataFrame) -> DataFrame:
     """AGG2: mean of the line's own stat per line, in one pass over the
     history (a single conditional expression instead of one filtered branch
     per stat type). Partial aggregation runs map-side."""
-    return with_stat_value(history).groupBy(*LINE_KEY).agg(F.avg("x").alias("predicted_value"))
+    return with_stat_value(named_stats(history)).groupBy(*LINE_KEY).agg(F.avg("x").alias("predicted_value"))
 
 
 def stat_averages_union(history: DataFrame, stat_names: list[str] | None = None) -> DataFrame:
-    """SET1: the per-stat-branch form (filter, aggregate, union all).
+    """SET1: the per-stat-branch form (one branch per known stat name and one
+    for every other name, which falls back to points).
 
-    Kept as the equivalence check of :func:`stat_averages`. The branches are
-    the known stat names plus one branch for every other name (which falls
-    back to points), so no driver-side list of stat types is needed.
+    Kept as the equivalence check of :func:`stat_averages`. All measures are
+    averaged per line in one scan; the branches stand above the aggregate.
     """
     names = stat_names or list(STAT_COLUMN)
-    branches = [
-        history.filter(F.col("stat") == name)
-        .groupBy(*LINE_KEY)
-        .agg(F.avg(F.col(STAT_COLUMN[name]).cast("double")).alias("predicted_value"))
-        for name in names
-    ]
-    other = (
-        history.filter(~F.col("stat").isin(names) | F.col("stat").isNull())
-        .groupBy(*LINE_KEY)
-        .agg(F.avg(F.col(DEFAULT_STAT_COLUMN).cast("double")).alias("predicted_value"))
+    measures = sorted({STAT_COLUMN[n] for n in names} | {DEFAULT_STAT_COLUMN})
+    means = named_stats(history).groupBy(*LINE_KEY).agg(*[F.avg(F.col(m).cast("double")).alias(f"_{m}") for m in measures])
+    branches = [F.struct((F.col("stat") == n).alias("taken"), F.col(f"_{STAT_COLUMN[n]}").alias("mean")) for n in names]
+    branches.append(F.struct((~F.col("stat").isin(names)).alias("taken"), F.col(f"_{DEFAULT_STAT_COLUMN}").alias("mean")))
+    return (
+        means.withColumn("_b", F.explode(F.array(*branches))).filter("_b.taken")
+        .select(*LINE_KEY, F.col("_b.mean").alias("predicted_value"))
     )
-    return reduce(DataFrame.unionByName, branches + [other])
 
 
 def with_mean_recommendation(avgs: DataFrame) -> DataFrame:

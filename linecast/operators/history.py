@@ -57,6 +57,7 @@ def unified_history(stats: DataFrame, props_with_id: DataFrame, games: DataFrame
     is broadcast on its measured size; games is broadcast when small and
     sort-merge joined otherwise (AQE splits skewed partitions).
     """
+    props_with_id = props_with_id.filter(F.col("stat").isNotNull())   # FLT2: per-stat jobs drop them
     h = stats.join(props_with_id, on="personid", how="inner").join(
         games.select("gameid", "gamedate"), on="gameid", how="inner"
     )

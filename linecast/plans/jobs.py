@@ -65,19 +65,23 @@ def locks_job(inputs: Inputs, run_ts: str | None = None) -> DataFrame:
     return averages.locks_final(inputs.stats, resolved(inputs), run_ts)
 
 
-def scenario_job(inputs: Inputs, run_ts: str | None = None, seed: int | str = 0,
+def scenario_job(inputs: Inputs, run_ts: str | None = None, seed: int | str | None = None,
                  n_draws: int = DRAWS_PER_PREDICTION) -> DataFrame:
     """Q3 (scenario job) without the sink: predictions with probability,
-    interval, confidence and risk labels."""
+    interval, confidence and risk labels. ``seed``: give the run's id, so that
+    runs differ and a replayed run repeats its draws (default: the run time)."""
+    if seed is None:
+        seed = run_ts if run_ts is not None else str(time.time())
     summary = history.decay_summary(inputs.stats, resolved(inputs), inputs.games)
     sim = scenario.simulate(summary, n_draws, seed)
     return scenario.scenario_predictions(scenario.with_scenario_recommendation(sim), run_ts)
 
 
-def with_timings(predictions: DataFrame, run) -> tuple[DataFrame, float, float]:
+def with_timings(predictions: DataFrame, run) -> tuple[DataFrame, DataFrame, float, float]:
     """Materialise ``predictions`` (the action that runs the simulation) and
     stamp the measured times (B8: measured around the action, not before it).
-    ``run`` is the wall-clock start of the whole run."""
+    ``run`` is the wall-clock start of the whole run. Returns the stamped rows,
+    the cached frame for the caller to unpersist, and the two times."""
     t0 = time.time()
     ready = predictions.persist()
     ready.count()
@@ -85,4 +89,4 @@ def with_timings(predictions: DataFrame, run) -> tuple[DataFrame, float, float]:
     total_s = time.time() - run
     out = ready.withColumn("processing_time_seconds", F.lit(float(sim_s))).withColumn(
         "total_processing_time_seconds", F.lit(float(total_s)))
-    return out, sim_s, total_s
+    return out, ready, sim_s, total_s

@@ -178,7 +178,8 @@ def q_scenario_summary(spark, d):
 
 
 def q_scenario_short_history(spark, d):
-    return scenario.short_history(_summary(spark, d))
+    # Customers and their orders: players with few games (SCN11, FLT3).
+    return scenario.short_history(history.decay_summary(*fx.customer_lines(spark, d)))
 
 
 def q_recommend_scenario(spark, d):

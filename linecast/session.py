@@ -24,21 +24,21 @@ BASE_CONF = {
     # Cached relations keep their hash partitioning, so operators above a
     # persisted, repartitioned input need no second shuffle.
     "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "false",
+    # Checkpoint files go when their DataFrame does.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
-# Settings that can change on a running session (SQL confs). Applied by
-# build_session and again by ``configure`` for sessions created elsewhere.
+# SQL settings the queries rely on, also set on sessions created elsewhere by
+# ``configure``. The caller's broadcast thresholds are left alone.
 RUNTIME_KEYS = [
     "spark.sql.session.timeZone",
     "spark.sql.adaptive.enabled",
     "spark.sql.adaptive.coalescePartitions.enabled",
     "spark.sql.adaptive.skewJoin.enabled",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold",
-    "spark.sql.autoBroadcastJoinThreshold",
     "spark.sql.codegen.hugeMethodLimit",
     "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning",
 ]
@@ -46,12 +46,11 @@ RUNTIME_KEYS = [
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the queries rely on (UTC text timestamps,
-    AQE, the JIT-friendly codegen limit) to an existing session."""
+    AQE, the JIT-friendly codegen limit) to an existing session. A setting
+    that cannot be changed raises: results would differ silently."""
     for k in RUNTIME_KEYS:
-        try:
+        if spark.conf.get(k, None) != BASE_CONF[k]:
             spark.conf.set(k, BASE_CONF[k])
-        except Exception:  # a setting a managed session does not allow to change
-            pass
     return spark
 
 
@@ -71,7 +70,7 @@ def build_session(
         if master.startswith("local"):
             # local mode: the driver JVM is the only executor
             builder = builder.config("spark.driver.host", "127.0.0.1").config(
-                "spark.driver.memory", os.environ.get("LINECAST_DRIVER_MEMORY", "16g")
+                "spark.driver.memory", os.environ.get("LINECAST_DRIVER_MEMORY", "8g")
             )
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
@@ -98,7 +97,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         master = sc.master or ""
-        if not master.startswith("local"):
+        if not (master == "local" or master.startswith("local[")):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS/S3/ABFS) so checkpoints survive executor loss"

@@ -9,6 +9,7 @@
 | props       | players      | one line per player, three for points players          |
 | predictions | props+stats  | a stored predictions table for the report queries     |
 | triggers    | events       | event type -> job type, event time -> message time    |
+| short lines | customer     | customer = player, orders = games (few per player)    |
 
 Every relation reads only the columns it needs, so scans carry a pruned
 ``ReadSchema``. Roundings use ``floor(x * k + 0.5) / k`` so that Spark and
@@ -31,14 +32,14 @@ POINTS_LINE_DELTAS = [0.0, 1.0, -0.2]
 PROP_GAME_DATE = "2024-01-01"
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
+_TABLES: dict[tuple, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; the DataFrame (file listing and schema) is built once
     per session and path, then reused by every query."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
@@ -169,6 +170,24 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("probability_over_raw")
 
 
+def customer_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(stats, resolved lines, games) with customers as players and their
+    orders as games: whole tables in which many players have short histories
+    (one to four games)."""
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    box = o.select(
+        F.col("o_custkey").alias("personid"), F.col("o_orderkey").alias("gameid"), F.col("o_orderkey").alias("row_a"), F.lit(0).cast("long").alias("row_b"),
+        _round_to(F.col("o_totalprice") / F.lit(10000.0), 100.0).alias("points"),
+        *[F.lit(None).cast("double").alias(m) for m in ["assists", "reboundstotal", "steals", "blocks", "threepointersmade"]],
+    )
+    lines = c.select(
+        F.col("c_custkey").alias("personid"), F.replace("c_name", F.lit("#"), F.lit(" ")).alias("player_name"), F.lit("points").alias("stat"),
+        F.lit(15.5).alias("line"), F.concat(F.lit("T"), (F.col("c_custkey") % 5).cast("string")).alias("team"),
+    )
+    return box, lines, games(spark, sf_dir)
+
+
 def triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message records shaped like the trigger topic: (timestamp, value)."""
     e = table(spark, sf_dir, "events")

@@ -32,7 +32,8 @@ def read_table(spark: SparkSession, url: str, table: str, properties: dict[str,
 def append_table(df: DataFrame, url: str, table: str, properties: dict[str, str],
                  batch_size: int = 100, max_connections: int | None = None) -> None:
     """Executor-side batched append (replaces the driver-side insert loop);
-    ``max_connections`` bounds concurrent connections to the database."""
-    out = df.coalesce(max_connections) if max_connections else df
+    ``max_connections`` bounds concurrent connections to the database (a
+    repartition: coalescing would run the whole upstream stage in as few tasks)."""
+    out = df.repartition(max_connections) if max_connections else df
     props = dict(properties, batchsize=str(batch_size))
     out.write.mode("append").jdbc(url, table, properties=props)

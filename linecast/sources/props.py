@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linecast.schemas import PROPS
 
@@ -18,6 +19,15 @@ def read_props(spark: SparkSession, path: str, infer_schema: bool = False) -> Da
     return reader.json(path)
 
 
+def broken_lines(spark: SparkSession, path: str) -> int:
+    """How many non-blank lines of the files do not parse (a PERMISSIVE scan
+    returns them as all-null rows)."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    marked = T.StructType([*PROPS.fields, T.StructField("_broken", T.StringType())])
+    parsed = lines.select(F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}).alias("p"))
+    return parsed.where(F.col("p._broken").isNotNull()).count()
+
+
 def props_as_ndjson(props: DataFrame) -> DataFrame:
     """Serialise lines to NDJSON text (column ``value``)."""
     return props.select(F.to_json(F.struct(*[F.col(f.name) for f in PROPS.fields])).alias("value"))

@@ -27,14 +27,40 @@ def route_triggers(parsed: DataFrame, job_type: str = ANALYSIS_JOB) -> DataFrame
     return parsed.filter(F.col("job_type") == job_type)
 
 
+def count_triggers(parsed: DataFrame, job_type: str = ANALYSIS_JOB) -> dict:
+    """One pass over a batch of parsed triggers: how many start the analysis,
+    how many are rejected (unknown, missing or broken job type), and the time
+    of the newest accepted one (its own timestamp, else the message's)."""
+    accepted = F.coalesce(F.col("job_type") == job_type, F.lit(False))
+    when = F.coalesce(F.try_to_timestamp("timestamp"), F.col("kafka_timestamp"))
+    row = parsed.agg(
+        F.count_if(accepted).alias("accepted"), F.count_if(~accepted).alias("rejected"),
+        F.date_format(F.to_utc_timestamp(F.max(F.when(accepted, when)), F.current_timezone()), "yyyy-MM-dd HH:mm:ss").alias("newest"),
+    ).first()
+    return row.asDict()
+
+
 def trigger_record(job_type, ts) -> F.Column:
-    """SNK4: the published JSON record {"job_type", "timestamp" as UTC ISO text}."""
+    """SNK4: the published JSON record {"job_type", "timestamp" as UTC ISO text}
+    (converted explicitly, whatever the session's time zone)."""
     return F.to_json(F.named_struct(
         F.lit("job_type"), job_type,
-        F.lit("timestamp"), F.date_format(ts, ISO_UTC_FORMAT),
+        F.lit("timestamp"), F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), ISO_UTC_FORMAT),
     ))
 
 
+def publish_triggers(records: DataFrame, bootstrap: str | None = None, topic: str = TOPIC, path: str | None = None) -> None:
+    """SNK4: append trigger records (column ``value``, JSON text) to the topic,
+    or to a folder of NDJSON files that :func:`read_trigger_files` reads."""
+    if (bootstrap is None) == (path is None):
+        raise ValueError("give either a bootstrap server or a path")
+    out = records.select(F.col("value").cast("string").alias("value"))
+    if path is not None:
+        out.write.mode("append").text(path)
+    else:
+        out.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save()
+
+
 def read_kafka(spark: SparkSession, bootstrap: str, topic: str = TOPIC, streaming: bool = True,
                starting_offsets: str | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """SRC5/SRC6: the trigger topic as a batch or streaming source (needs the

@@ -2,16 +2,18 @@
 
 The stream carries only small trigger records; ``foreachBatch`` turns each
 micro-batch into at most one analysis run (the reference runs the whole
-analysis once per message, sequentially). The run appends its predictions
-idempotently, so a replayed micro-batch (after a failure before the commit)
-adds no duplicate rows. Errors propagate: the micro-batch is not committed
-and is retried instead of being silently lost (B13).
+analysis once per message, sequentially). The run's time and id come from the
+batch, not from the clock, and the run appends its predictions idempotently:
+a micro-batch replayed after a failure, even on another day, adds no duplicate
+rows. Errors propagate: the micro-batch is not committed and is retried
+instead of being silently lost (B13).
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,56 +22,82 @@ from pyspark.sql.streaming import StreamingQuery
 from linecast.plans.jobs import with_timings
 from linecast.schemas import PREDICTIONS
 from linecast.sinks.append import append_new, parquet_writer, read_parquet_target
-from linecast.sources.triggers import parse_triggers, route_triggers
+from linecast.sources.jdbc import append_table, read_table
+from linecast.sources.triggers import count_triggers, parse_triggers
 
-Analysis = Callable[[str], DataFrame]   # run timestamp -> predictions (table layout)
+Analysis = Callable[[str, str], DataFrame]   # run timestamp, run id -> predictions (table layout)
 
 
-def conform(predictions: DataFrame) -> DataFrame:
-    """Add missing target columns as typed nulls and cast to the table schema."""
+@dataclass
+class Target:
+    """Where predictions are stored: how to read the table and append to it."""
+
+    read: Callable[[], DataFrame]
+    write: Callable[[DataFrame], None]
+
+
+def parquet_target(spark: SparkSession, path: str) -> Target:
+    """Parquet, one game_date partition per daily run; date-filtered reads prune."""
+    return Target(lambda: read_parquet_target(spark, path, PREDICTIONS), parquet_writer(path, partition_by=["game_date"]))
+
+
+def jdbc_target(spark: SparkSession, url: str, table: str, properties: dict[str, str], max_connections: int = 4) -> Target:
+    """The predictions table of a database (not run here: no database may be started)."""
+    return Target(lambda: read_table(spark, url, table, properties), lambda df: append_table(df, url, table, properties, max_connections=max_connections))
+
+
+def conform(predictions: DataFrame, run_ts: str) -> DataFrame:
+    """Add missing target columns as typed nulls and cast to the table schema;
+    rows without a creation time get the run's (the table's column default)."""
     cols = []
     for f in PREDICTIONS.fields:
         src = F.col(f.name) if f.name in predictions.columns else F.lit(None)
+        if f.name == "created_at":
+            src = F.coalesce(src.cast(f.dataType), F.lit(run_ts).cast(f.dataType))
         cols.append(src.cast(f.dataType).alias(f.name))
     return predictions.select(*cols)
 
 
-def run_once(spark: SparkSession, analysis: Analysis, target_path: str, run_ts: str | None = None) -> dict:
-    """One analysis run appended idempotently to the parquet target."""
+def run_once(spark: SparkSession, analysis: Analysis, target: Target | str, run_ts: str | None = None, run_id: str | None = None) -> dict:
+    """One analysis run appended idempotently to the target (a path: parquet)."""
     start = time.time()
+    target = parquet_target(spark, target) if isinstance(target, str) else target
     ts = run_ts or time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(start))
-    preds, sim_s, total_s = with_timings(analysis(ts), start)
+    run_id = run_id or f"run-{ts}"
+    preds, cached, sim_s, total_s = with_timings(analysis(ts, run_id), start)
     try:
-        existing = read_parquet_target(spark, target_path, PREDICTIONS)
-        # one game_date partition per daily run; date-filtered reads prune
-        written = append_new(conform(preds), existing, parquet_writer(target_path, partition_by=["game_date"]))
+        written = append_new(conform(preds, ts), target.read(), target.write)
     finally:
-        preds.unpersist()
-    return {"run_ts": ts, "written": written, "simulation_s": sim_s, "total_s": total_s}
+        cached.unpersist()
+    return {"run_ts": ts, "run_id": run_id, "written": written, "simulation_s": sim_s, "total_s": total_s}
+
+
+def _run_of(counted: dict, run_id: str) -> dict:
+    """Run time and id of a batch of triggers, the same on every replay."""
+    return {"run_ts": counted["newest"], "run_id": f"{run_id}-{counted['newest']}"}
 
 
-def batch_handler(spark: SparkSession, analysis: Analysis, target_path: str, log: list | None = None):
+def batch_handler(spark: SparkSession, analysis: Analysis, target: Target | str, log: list | None = None):
     """``foreachBatch`` function: route the batch's triggers and run once."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        valid = route_triggers(parse_triggers(batch))
-        n_valid = valid.count()
-        entry = {"batch_id": batch_id, "triggers": n_valid}
-        if n_valid:
-            entry.update(run_once(spark, analysis, target_path))
+        counted = count_triggers(parse_triggers(batch))
+        entry = {"batch_id": batch_id, "triggers": counted["accepted"], "rejected": counted["rejected"]}
+        if counted["accepted"]:
+            entry.update(run_once(spark, analysis, target, **_run_of(counted, f"batch-{batch_id}")))
         if log is not None:
             log.append(entry)
 
     return handle
 
 
-def start(spark: SparkSession, messages: DataFrame, analysis: Analysis, target_path: str,
+def start(spark: SparkSession, messages: DataFrame, analysis: Analysis, target: Target | str,
           checkpoint_location: str, processing_time: str | None = "60 seconds",
           available_now: bool = False, log: list | None = None) -> StreamingQuery:
     """Start the trigger stream; the caller owns the returned query handle
     (``awaitTermination`` / ``stop``)."""
     writer = (
-        messages.writeStream.foreachBatch(batch_handler(spark, analysis, target_path, log))
+        messages.writeStream.foreachBatch(batch_handler(spark, analysis, target, log))
         .outputMode("append")
         .option("checkpointLocation", checkpoint_location)
     )
@@ -77,8 +105,9 @@ def start(spark: SparkSession, messages: DataFrame, analysis: Analysis, target_p
     return writer.start()
 
 
-def run_batch(spark: SparkSession, messages: DataFrame, analysis: Analysis, target_path: str) -> dict | None:
+def run_batch(spark: SparkSession, messages: DataFrame, analysis: Analysis, target: Target | str) -> dict | None:
     """Batch job: if the message table holds any analysis trigger, run once."""
-    if route_triggers(parse_triggers(messages)).isEmpty():
+    counted = count_triggers(parse_triggers(messages))
+    if not counted["accepted"]:
         return None
-    return run_once(spark, analysis, target_path)
+    return run_once(spark, analysis, target, **_run_of(counted, "batch"))
