@@ -178,9 +178,16 @@ def line_summary(ranked: DataFrame) -> DataFrame:
     )
 
 
-def summarize_lines(unified: DataFrame) -> DataFrame:
+def summarize_lines(unified: DataFrame, rank_scope: str = "player_stat", null_weight: str = "keep",
+                    streak_side: str = "oldest") -> DataFrame:
     """The per-line summary of :func:`line_summary` in one pass over the rows.
 
+    Options (defaults as in the reference): ``rank_scope`` (B3) ``player_stat``
+    ranks the rows of all lines of a player and stat together, ``line`` each
+    line alone; ``null_weight`` (B5) ``keep`` leaves the weight of a null value
+    in the denominator, ``drop`` takes it out; ``streak_side`` (B6) ``oldest``
+    averages the three oldest values for the streak, ``latest`` the newest.
+
     Only one shuffle moves history rows: the within-day windows over
     (personid, stat, date). Everything after works on one row per (line, date):
 
@@ -197,12 +204,16 @@ def summarize_lines(unified: DataFrame) -> DataFrame:
     a hot player's rows are spread over its dates, and its dates are bounded
     by the calendar.
     """
+    for given, known in ((rank_scope, ("player_stat", "line")), (null_weight, ("keep", "drop")), (streak_side, ("oldest", "latest"))):
+        if given not in known:
+            raise ValueError(f"{given!r} is none of {known}")
+    scope = ["personid", "stat"] if rank_scope == "player_stat" else LINE_KEY
     # The exchange the windows need anyway, stated explicitly: on large input
     # Spark would insert this same hash partitioning (so it costs nothing
     # extra); on a single-split input it still spreads the work over all tasks.
     u = _with_day(unified).repartition("personid", "stat", _DAY)
     in_day = _in_day_order()
-    key_day = Window.partitionBy("personid", "stat", _DAY).orderBy(*in_day, *_line_tie_order())
+    key_day = Window.partitionBy(*scope, _DAY).orderBy(*in_day, *_line_tie_order())
     line_day_part = ["personid", "stat", _DAY, "player_name", "line", "team", F.col("x").isNull()]
     line_day = Window.partitionBy(*line_day_part).orderBy(*in_day)
     line_day_all = Window.partitionBy(*line_day_part)   # same sort as line_day: no extra sort
@@ -219,7 +230,7 @@ def summarize_lines(unified: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("_rows"),
         F.count("x").alias("_vals"),
         F.sum(F.col("x") * w_day).alias("_a"),
-        F.sum(w_day).alias("_b"),
+        F.sum(w_day if null_weight == "keep" else F.when(F.col("x").isNotNull(), w_day)).alias("_b"),
         F.sum("x").alias("_sum_d"),
         F.avg("x").alias("_mean_d"),
         (F.var_pop("x") * F.count("x")).alias("_m2_d"),
@@ -229,8 +240,8 @@ def summarize_lines(unified: DataFrame) -> DataFrame:
         F.collect_list(F.when(F.col("_p") <= SEASON_GAMES, value)).alias("_head"),
         F.collect_list(F.when(F.col("_q") <= 3, value)).alias("_tail"),
     )
-    key_day_w = Window.partitionBy("personid", "stat", _DAY)
-    key_newer = Window.partitionBy("personid", "stat").orderBy(F.col(_DAY).desc())
+    key_day_w = Window.partitionBy(*scope, _DAY)
+    key_newer = Window.partitionBy(*scope).orderBy(F.col(_DAY).desc())
     line_newer = Window.partitionBy(*LINE_KEY).orderBy(F.col(_DAY).desc())
     line_all = Window.partitionBy(*LINE_KEY)
     days = (
@@ -253,9 +264,8 @@ def summarize_lines(unified: DataFrame) -> DataFrame:
         F.coalesce(F.col("_sum_d"), F.lit(0.0)) - head_x) * F.lit(OLDER_WEIGHT)
     trend_den = F.aggregate("_head", F.lit(0.0), lambda acc, e: acc + tw(e)) + (
         F.col("_vals") - F.size("_head")).cast("double") * F.lit(OLDER_WEIGHT)
-    oldest3 = F.aggregate(
-        "_tail", F.lit(0.0),
-        lambda acc, e: acc + F.when(pos(e) >= F.col("_n") - 3, e["x"]).otherwise(F.lit(0.0)))
+    values, within = ("_tail", lambda e: pos(e) >= F.col("_n") - 3) if streak_side == "oldest" else ("_head", lambda e: pos(e) < 3)
+    last3 = F.aggregate(values, F.lit(0.0), lambda acc, e: acc + F.when(within(e), e["x"]).otherwise(F.lit(0.0)))
     scale = F.pow(F.lit(DECAY), F.col("_rk_base"))
     n = F.max("_n")
     m2 = F.sum("_m2_d") + F.sum(F.col("_vals") * (F.col("_mean_d") - F.col("_mean")) * (F.col("_mean_d") - F.col("_mean")))
@@ -268,7 +278,7 @@ def summarize_lines(unified: DataFrame) -> DataFrame:
             F.max("_max_d").alias("max_val"),
             n.alias("game_count"),
             (F.sum(trend_num) / F.sum(trend_den)).alias("recent_avg"),
-            (F.sum(oldest3) / F.lit(3.0)).alias("last3_avg"),
+            (F.sum(last3) / F.lit(3.0)).alias("last3_avg"),
         )
         .filter(F.col("game_count") >= MIN_GAMES)
     )
@@ -291,6 +301,7 @@ def with_model_inputs(summary: DataFrame) -> DataFrame:
     )
 
 
-def decay_summary(stats: DataFrame, props_with_id: DataFrame, games: DataFrame) -> DataFrame:
-    """Unified history -> ranks -> per-line summary with model inputs."""
-    return with_model_inputs(summarize_lines(unified_history(stats, props_with_id, games)))
+def decay_summary(stats: DataFrame, props_with_id: DataFrame, games: DataFrame, **options: str) -> DataFrame:
+    """Unified history -> ranks -> per-line summary with model inputs;
+    ``options`` as in :func:`summarize_lines`."""
+    return with_model_inputs(summarize_lines(unified_history(stats, props_with_id, games), **options))

@@ -47,10 +47,17 @@ def _joined(predictions: DataFrame, players: DataFrame) -> DataFrame:
     return predictions.join(players.select("personid", "firstname", "lastname"), "personid").select(*REPORT_COLUMNS)
 
 
-def report_locks(predictions: DataFrame, players: DataFrame) -> DataFrame:
+def report_locks(predictions: DataFrame, players: DataFrame, min_deviation: float | None = None,
+                 game_date: str | None = None) -> DataFrame:
     """Q4: distinct stored predictions with player names, highest deviation
     first (nulls last). ``created_at`` is part of the distinct row, so reruns
-    stay separate rows."""
+    stay separate rows. ``min_deviation`` and ``game_date`` (B17) restrict the
+    report to deviations of at least that many percent and to one day's rows;
+    the reference shows everything."""
+    if min_deviation is not None:
+        predictions = predictions.filter(F.col("deviation_percentage") >= F.lit(min_deviation))
+    if game_date is not None:
+        predictions = predictions.filter(F.col("game_date") == F.lit(game_date).cast("date"))
     rows = _present(_joined(predictions, players).distinct())
     return rows.orderBy(F.col("_dev_raw").desc_nulls_last(), "player_name", "stat_type", "line").drop(
         "_dev_raw", "_created_raw")

@@ -20,14 +20,15 @@ def dedup_players(players: DataFrame) -> DataFrame:
     ).select("personid", F.col("_n.firstname").alias("firstname"), F.col("_n.lastname").alias("lastname"))
 
 
-def resolve_players(props: DataFrame, players: DataFrame, keep_team: bool = True) -> DataFrame:
+def resolve_players(props: DataFrame, players: DataFrame, keep_team: bool = True,
+                    name_rule: str = "first_second") -> DataFrame:
     """JN1 + PRJ2: offered lines joined to players on (firstname, lastname).
 
     Unmatched names drop; a name shared by several ids fans out to each id.
     The join strategy is left to the optimizer and AQE, which broadcast the
     side whose estimated or measured size is under the broadcast threshold.
     """
-    named = with_name_parts(props)
+    named = with_name_parts(props, name_rule=name_rule)
     cols = ["player_name", "stat", "line"] + (["team"] if keep_team else []) + ["personid"]
     return named.join(dedup_players(players), ["firstname", "lastname"], "inner").select(*cols)
 
