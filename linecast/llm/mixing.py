@@ -36,7 +36,7 @@ from linecast.llm.common import WORD, materialize
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 17
-BUCKETS = 4096
+BUCKETS = 1 << 15
 SALTS = 32
 
 
@@ -68,6 +68,11 @@ def water_fill(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS)
     )
 
 
+def _bucket(h: Column | None = None) -> Column:
+    """The hash range of a row."""
+    return F.shiftright(F.col("h") if h is None else h, 63 - BUCKETS.bit_length() + 1).cast("int")
+
+
 def _hash(seed: int) -> Column:
     """63 seeded bits per id."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("long"), F.col("id")), 1)
@@ -98,26 +103,34 @@ def plan(sized: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> Dat
     )
 
 
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    return materialize(sized.withColumn("h", _hash(seed)).withColumn("bucket", _bucket()), "mixing-sizes")
+
+
+def _at_cut(joined: DataFrame) -> DataFrame:
+    """The rows of the cut ranges with ``extra``: taken once more."""
+    before = Window.partitionBy("source").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("size").over(before), F.lit(0).cast("long")) + F.col("cut_below")
+    inside = joined.where(F.col("bucket") == F.col("cut_bucket")).withColumn("below", below)
+    return inside.withColumn("extra", (F.col("below") + F.col("size") / 2 <= F.col("part")) & (F.col("part") > 0)).drop("below")
+
+
+def _before_cut() -> Column:
+    return (F.col("bucket") < F.col("cut_bucket")) & (F.col("part") > 0)
+
+
 def repetitions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """One row per document: id, size, source, source_size, target, ``reps``."""
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
-    sized = materialize(sized.withColumn("h", _hash(seed)).withColumn("bucket", F.shiftright("h", 51).cast("int")), "mixing-sizes")
+    sized = _sized(docs, id_col, text_col, source_col, seed)
     sources = plan(sized, weights, max_epochs).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     joined = (
         sized.withColumn("salt", (F.col("h") % SALTS).cast("int")).alias("d")
         .join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")) & (F.col("d.salt") == F.col("s.salt")))
         .select("d.id", "d.size", "d.source", "d.h", "d.bucket", "s.source_size", "s.target", "s.whole", "s.part", "s.cut_bucket", "s.cut_below")
     )
-    at_cut = F.col("bucket") == F.col("cut_bucket")
-    before = Window.partitionBy("source").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    inside = (
-        joined.where(at_cut)
-        .withColumn("below", F.coalesce(F.sum("size").over(before), F.lit(0).cast("long")) + F.col("cut_below"))
-        .withColumn("extra", (F.col("below") + F.col("size") / 2 <= F.col("part")) & (F.col("part") > 0))
-        .drop("below")
-    )
-    outside = joined.where(~at_cut).withColumn("extra", (F.col("bucket") < F.col("cut_bucket")) & (F.col("part") > 0))
-    return inside.unionByName(outside).select("id", "size", "source", "source_size", "target", (F.col("whole") + F.col("extra").cast("long")).alias("reps")).withColumnRenamed("id", id_col)
+    outside = joined.where(F.col("bucket") != F.col("cut_bucket")).withColumn("extra", _before_cut())
+    return _at_cut(joined).unionByName(outside).select("id", "size", "source", "source_size", "target", (F.col("whole") + F.col("extra").cast("long")).alias("reps")).withColumnRenamed("id", id_col)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
@@ -126,15 +139,32 @@ def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     return r.select(id_col, "size", "source_size", "target", (F.col("size") * F.col("reps")).alias("taken"), "source", "reps")
 
 
-def resample(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def resample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """The mixed rows themselves: every document as often as the mix takes it.
 
-    Documents of size 0 take no words and go. Rows that share an id share the
-    smallest number of repetitions found for it.
+    Documents of size 0 take no words and go. Of rows that share an id and
+    source at a cut, all are taken once more or none.
+
+    Texts stay where they are: a row's repetitions follow from its source's
+    plan and its own hash, except in the ranges that hold a cut. The plans
+    (a row per source) and the ids taken there (about one document in
+    ``BUCKETS``) are written tables of known size, which Spark broadcasts
+    under its threshold and joins by a shuffle beyond it.
     """
-    reps = repetitions(docs, id_col, **options).where(F.col("size") > 0).groupBy(id_col).agg(F.min("reps").alias("_reps")).where(F.col("_reps") > 0).withColumnRenamed(id_col, "_reps_id")
-    return (
-        docs.join(reps, F.col(id_col).eqNullSafe(F.col("_reps_id")))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_reps"))))
-        .select(*docs.columns)
+    sized = _sized(docs, id_col, text_col, source_col, seed)
+    plans = materialize(plan(sized, weights, max_epochs), "mixing-plan").withColumnRenamed("source", "_source")
+    same_source = F.col("source").eqNullSafe(F.col("_source"))
+    at_cut = _at_cut(sized.join(plans, same_source & (F.col("bucket") == F.col("cut_bucket"))).drop("_source"))
+    taken = at_cut.groupBy("id", "source").agg(F.min("extra").alias("extra")).where("extra")
+    taken = materialize(taken.select(F.col("id").alias("_id"), F.col("source").alias("_at"), F.lit(1).cast("long").alias("_hit")), "mixing-taken")
+
+    kept = [F.col(f"d.`{c}`") for c in docs.columns]
+    own = F.struct(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.regexp_like(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).alias("sized"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), own.alias("o")).where("o.sized")
+    rows = rows.select("d", F.col("o.id").alias("id"), F.col("o.source").alias("source")).withColumn("bucket", _bucket(_hash(seed)))
+    mixed = (
+        rows.join(plans, same_source)
+        .join(taken, F.col("id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_at")) & (F.col("bucket") == F.col("cut_bucket")), "left")
+        .withColumn("reps", F.col("whole") + _before_cut().cast("long") + (F.col("bucket") == F.col("cut_bucket")).cast("long") * F.coalesce("_hit", F.lit(0).cast("long")))
     )
+    return mixed.where("reps > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("reps")))).select(*kept)
