@@ -186,3 +186,21 @@ def read_back(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
 
     narrow = formatted.select(F.col(conv_col).alias("conv"), "formatted", "loss_spans")
     return narrow.mapInArrow(run, f"conv {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long").withColumnRenamed("conv", conv_col)
+
+
+def oracle_sql() -> str:
+    """The digests of ``read_back`` for the table ``conversations`` and the probe conversation, in DuckDB SQL."""
+    text = r"(len(regexp_extract_all(text, '\\|#|</turn>')))"
+    role = r"(len(regexp_extract_all(role, '\\|#|:|</turn>')))"
+    return rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+       sum({len(HEAD) + len(COLON) + len(END)} + length(role) + {role} + length(text) + {text})::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""

@@ -68,14 +68,15 @@ def water_fill(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS)
     )
 
 
-def _bucket(h: Column | None = None) -> Column:
-    """The hash range of a row."""
-    return F.shiftright(F.col("h") if h is None else h, 63 - BUCKETS.bit_length() + 1).cast("int")
+def _hash(seed: int) -> Column:
+    """60 seeded bits per id (of its md5, which other engines compute alike)."""
+    text = F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def _hash(seed: int) -> Column:
-    """63 seeded bits per id."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("long"), F.col("id")), 1)
+def _bucket(h: Column | None = None) -> Column:
+    """The hash range of a row."""
+    return F.shiftright(F.col("h") if h is None else h, 60 - BUCKETS.bit_length() + 1).cast("int")
 
 
 def plan(sized: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -168,3 +169,41 @@ def resample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         .withColumn("reps", F.col("whole") + _before_cut().cast("long") + (F.col("bucket") == F.col("cut_bucket")).cast("long") * F.coalesce("_hit", F.lit(0).cast("long")))
     )
     return mixed.where("reps > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("reps")))).select(*kept)
+
+
+def oracle_sql(weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> str:
+    """``mix`` in DuckDB SQL: the same closed form, the fraction by one running sum per source."""
+    return rf"""
+WITH d AS (
+  SELECT doc_id, source,
+         len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size,
+         ('0x' || substr(md5('{seed}|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS h
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), w AS (
+  SELECT *, {list(weights)}[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(weights)} + 1)::INT] AS w,
+         source_size * {max_epochs} AS cap, sum(source_size) OVER () AS total
+  FROM s
+), o AS (
+  SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+  FROM w
+), c AS (
+  SELECT *, (total - before)::HUGEINT * w > cap::HUGEINT * rest AS clamped FROM o
+), t AS (
+  SELECT source, source_size,
+         CASE WHEN clamped THEN cap::DOUBLE
+              ELSE (total - coalesce(sum(cap) FILTER (clamped) OVER (), 0))::DOUBLE * w / (sum(w) FILTER (NOT clamped) OVER ())::DOUBLE END AS target
+  FROM c
+), p AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t
+), r AS (
+  SELECT d.*, p.source_size, p.target, p.whole, greatest(0.0::DOUBLE, p.target - p.whole * p.source_size) AS part,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target,
+       (size * (whole + CASE WHEN part > 0 AND below + size / 2.0::DOUBLE <= part THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM r
+"""

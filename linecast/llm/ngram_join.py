@@ -410,3 +410,28 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
         return kept
     named = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
     return named.unionByName(kept.where(F.col(id_col).isNull()))
+
+
+def oracle_sql(k: int, percent: int) -> str:
+    """``ngram_join`` in DuckDB SQL, over all pairs that share a shingle: for small tables with unique ids."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    gram = " || ' ' || ".join(f"words[i + {j}]" for j in range(k))
+    return rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), g AS (
+  SELECT doc_id, {gram} AS gram FROM (SELECT doc_id, words, unnest(range(1, len(words) - {k - 2})) AS i FROM w WHERE len(words) >= {k})
+  UNION SELECT doc_id, array_to_string(words, ' ') FROM w WHERE len(words) BETWEEN 1 AND {k - 1}
+), n AS (
+  SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING count(*) * {100 + percent} >= {percent} * (x.n + y.n)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT a AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(b)::BIGINT AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a
+"""

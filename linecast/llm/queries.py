@@ -82,5 +82,9 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_jaccard": ngram_join.oracle_sql(k=4, percent=85),
+    "op3_embedding_dedup": embedding_dedup.oracle_sql(),
+    "op5_mixing": mixing.oracle_sql(),
     "op7_quality_rules": quality_rules.ORACLE_SQL,
+    "op8_chat": chat.oracle_sql(),
 }
