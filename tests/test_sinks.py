@@ -7,7 +7,7 @@ from linecast.streaming.runner import conform
 
 def _batch(spark, rows):
     return conform(spark.createDataFrame(
-        rows, "personid long, stat_type string, line double, game_date date, predicted_value double"))
+        rows, "personid long, stat_type string, line double, game_date date, predicted_value double"), "2024-01-02 00:00:00")
 
 
 def test_append_twice_adds_nothing(spark, tmp_dir):
