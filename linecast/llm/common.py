@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,21 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_cache_owner: tuple[object, Callable[[], None]] | None = None
+
+
+def own_cache(name: object, forget: Callable[[], None]) -> None:
+    """Make ``name`` the only operator whose word table a Python worker keeps.
+
+    Workers are reused over operators; the previous owner's table is dropped,
+    so a worker's memory is bounded by one table.
+    """
+    global _cache_owner
+    if _cache_owner is not None and _cache_owner[0] != name:
+        _cache_owner[1]()
+    _cache_owner = (name, forget)
+
+
 def crc_mod(id_col: str, m: int) -> Column:
     """crc32 of the id as text, modulo ``m`` (null ids count as empty text)."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % m

@@ -24,6 +24,7 @@ that sorts first; repeated rows give repeated rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -32,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from linecast.llm.common import own_cache
+
 ORDER = 4
 MAX_DOCS_PER_LANG = 300
 MAX_LANGS = 1000
@@ -86,7 +89,7 @@ class Model:
     """
 
     def __init__(self, counts: dict[str, dict[bytes, int]], order: int = ORDER):
-        self.langs, self.order = sorted(counts), order
+        self.langs, self.order, self.token = sorted(counts), order, uuid.uuid4().hex
         self.symbols: list[tuple[np.ndarray, np.ndarray]] = []
         self.escapes: list[tuple[np.ndarray, np.ndarray]] = []
         n_langs = len(self.langs)
@@ -120,6 +123,11 @@ class Model:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
 
+    def forget(self) -> None:
+        """Drop the table of word code lengths."""
+        self.__dict__.pop("_row", None)
+        self.__dict__.pop("_table", None)
+
     def code_lengths(self, found: list[bytes]) -> np.ndarray:
         """Bits of each word in each language."""
         c = Coded(found)
@@ -140,6 +148,7 @@ class Model:
 
     def bits(self, texts: list[list[bytes]]) -> np.ndarray:
         """Code length of each text (as words) in each language."""
+        own_cache(self.token, self.forget)
         if not hasattr(self, "_row") or len(self._row) > CACHE_WORDS:
             self._row: dict[bytes, int] = {}
             self._table = np.zeros((0, len(self.langs)))

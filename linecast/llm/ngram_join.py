@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linecast.llm.common import materialize
+from linecast.llm.common import materialize, own_cache
 from linecast.llm.components import connected_components
 
 SHINGLE = 5
@@ -81,6 +81,7 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     if not found:
         return np.zeros(0, np.uint64)
     known = _word_hash
+    own_cache("ngram_join", known.clear)
     if len(known) > CACHE_WORDS:
         known.clear()
     for w in set(found).difference(known):

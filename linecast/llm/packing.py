@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linecast.llm.common import materialize
+from linecast.llm.common import materialize, own_cache
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -82,6 +82,11 @@ class WordEncoder:
         self.parts: dict[str, bytes] = {}
         self.special = re.compile(b"|".join(re.escape(t.content.encode()) for t in self.whole.get_added_tokens_decoder().values()) or b"(?!)")
 
+    def forget(self) -> None:
+        """Drop the tables of word and pre-token ids."""
+        self.words.clear()
+        self.parts.clear()
+
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
@@ -102,8 +107,7 @@ class WordEncoder:
     def encode(self, text: str) -> bytes:
         known = self.words
         if len(known) > CACHE_WORDS:
-            known.clear()
-            self.parts.clear()
+            self.forget()
         found = text.encode("utf-8").split()
         for w in set(found).difference(known):
             known[w] = self._word(w)
@@ -125,6 +129,7 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
+        own_cache(("packing", vocabulary), enc.forget)
         for b in batches:
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, text in enumerate(b.column("text").to_pylist()):

@@ -22,6 +22,7 @@ smaller label; repeated rows give repeated rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -30,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linecast.llm.common import own_cache
+
 BUCKETS = 1 << 17
 DIM = 8
 MAX_TRAIN_DOCS = 2000
@@ -84,13 +87,19 @@ class Model:
     that each bucket adds, and the bias."""
 
     def __init__(self, logit: np.ndarray, bias: float):
-        self.logit, self.bias = logit, bias
+        self.logit, self.bias, self.token = logit, bias, uuid.uuid4().hex
 
     def __getstate__(self):
-        return {"logit": self.logit, "bias": self.bias}
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+
+    def forget(self) -> None:
+        """Drop the table of word logits."""
+        for name in ("_row", "_sum", "_n", "_hash"):
+            self.__dict__.pop(name, None)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         """Probability of class 1 for each text."""
+        own_cache(self.token, self.forget)
         if not hasattr(self, "_row") or len(self._row) > CACHE_WORDS:
             self._row: dict[bytes, int] = {}
             self._sum, self._n, self._hash = np.zeros(0), np.zeros(0), np.zeros(0, np.int64)
