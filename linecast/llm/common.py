@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,13 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts are Python objects at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 _cache_owner: tuple[object, Callable[[], None]] | None = None
 
 
@@ -60,6 +68,7 @@ def own_cache(name: object, forget: Callable[[], None]) -> None:
     global _cache_owner
     if _cache_owner is not None and _cache_owner[0] != name:
         _cache_owner[1]()
+        pa.default_memory_pool().release_unused()
     _cache_owner = (name, forget)
 
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linecast.llm.common import own_cache
+from linecast.llm.common import own_cache, slices
 
 ORDER = 4
 MAX_DOCS_PER_LANG = 300
@@ -199,7 +199,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: dict[tuple[str, bytes], int] = defaultdict(int)
-        for b in batches:
+        for b in slices(batches):
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                 for w in words(text):
                     n[lang, w] += 1
@@ -220,7 +220,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for b in batches:
+        for b in slices(batches):
             got = m.predict(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())], ["id", "lang_pred", "score"])
 
@@ -235,7 +235,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", lang_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for b in batches:
+        for b in slices(batches):
             got = m.predict(b.column(text_col).to_pylist())
             cols, i = list(b.columns), b.schema.get_field_index(lang_col)
             cols[i] = pa.array([x[0] for x in got], b.schema.field(i).type)

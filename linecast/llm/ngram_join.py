@@ -165,8 +165,9 @@ def _sets(docs: DataFrame, k: int, percent: int, rows: int) -> DataFrame:
         router = Router(percent, rows)
         for b in batches:
             size, keys, d1, d2 = [], [], [], []
-            for i, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist()):
-                h = shingles(text, k)
+            # Keys are combined over the whole batch; texts are Python objects one by one.
+            for i, value in zip(b.column("id").to_pylist(), b.column("text")):
+                h = shingles(value.as_py(), k)
                 size.append(len(h))
                 keys.append(router.keys(h) if i is not None else h[:0])
                 x, y = _digests(h)

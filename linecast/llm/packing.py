@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linecast.llm.common import materialize, own_cache
+from linecast.llm.common import materialize, own_cache, slices
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -130,7 +130,7 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         own_cache(("packing", vocabulary), enc.forget)
-        for b in batches:
+        for b in slices(batches):
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, text in enumerate(b.column("text").to_pylist()):
                 data = (enc.encode(text) if text else b"") + end

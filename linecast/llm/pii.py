@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linecast.llm.common import slices
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "account")
 
@@ -126,7 +128,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             spans = [[{"kind": k, "start": s, "end": e} for k, s, e in scan(t)] for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(spans, _ARROW_SPANS)], ["id", "spans"])
 
@@ -173,7 +175,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = Non
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             i = b.schema.get_field_index(text_col)
             old = b.column(i).to_pylist()
             new = [redacted(t) for t in old]

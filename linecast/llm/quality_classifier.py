@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linecast.llm.common import own_cache
+from linecast.llm.common import own_cache, slices
 
 BUCKETS = 1 << 17
 DIM = 8
@@ -161,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(marked), "id").select("label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             got = [vector(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array([x[0].astype(np.int32) for x in got], pa.list_(pa.int32())), pa.array([x[1] for x in got], pa.list_(pa.float32()))], ["label", "ids", "share"])
 
@@ -179,7 +179,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for b in batches:
+        for b in slices(batches):
             texts = b.column("text").to_pylist()
             got = [m.score(texts[i:i + 500]) for i in range(0, len(texts), 500)]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(np.concatenate(got) if got else [], pa.float64())], ["id", "score"])
