@@ -12,8 +12,11 @@ Kinds, in output order:
   counts, Luhn) are consumed and dropped.
 * ``url``: a scheme's address that holds credentials or a numeric host.
 * ``account``: the value after an identifier cue (``password=...``,
-  ``token = "..."``, ``IBAN: ...``) or a cloud key id. A value must be six
-  characters or more and hold a digit, so prose after a cue is left alone.
+  ``"token": "..."``, ``IBAN: ...``) or a cloud key id. A value must be six
+  characters or more and hold a digit, so prose after a cue is left alone. An
+  IBAN also goes on over single blanks, as far as its check digits hold.
+
+Values and credentials have no greatest length.
 
 Defined results: null or empty text has no spans; every input row gives one
 output row (repeated rows and repeated ids included); a null id stays null;
@@ -39,8 +42,10 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_URL = re.compile(r"://(?:[^\s/?#@<>\"']{1,256}@[A-Za-z0-9.-]+|[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?::[0-9]+)?(?:/[^\s<>\"']*+)?")
-_VALUE = re.compile(r"[\x20]?(?:number|no\.?|id)?[\x20]?[:=#][\x20]?[\"']?([A-Za-z0-9][A-Za-z0-9+/_.-]{5,255}+)")
+_URL = re.compile(r"://(?:[^\s/?#@<>\"']++@[A-Za-z0-9.-]+|[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?::[0-9]+)?(?:/[^\s<>\"']*+)?")
+_SEPARATOR = r"[\"']?[\x20]?(?:number|no\.?|id)?[\"']?[\x20]?[:=#][\x20]?[\"']?"
+_VALUE = re.compile(_SEPARATOR + r"([A-Za-z0-9][A-Za-z0-9+/_.-]{5,}+)")
+_IBAN = re.compile(_SEPARATOR + r"([A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]){11,30}|[a-z]{2}[0-9]{2}(?:[\x20]?[a-z0-9]){11,30})")
 _CLOUD_KEY = re.compile(r"[A-Z0-9]{16}(?![A-Za-z0-9])")
 _DIGITS = "0123456789"
 _CUES = ("password", "passwd", "token", "secret", "api_key", "apikey", "account", "acct", "iban", "ssn", "passport")
@@ -62,7 +67,7 @@ def _anchors():
             a.add_word(anchor, (anchor[0] if anchor not in _DIGITS else "0", len(anchor)))
         for cue in _CUES:
             for form in {cue, cue.capitalize(), cue.upper()}:
-                a.add_word(form, ("a", len(form)))
+                a.add_word(form, ("i" if cue == "iban" else "a", len(form)))
         a.add_word("AKIA", ("k", 4))
         a.make_automaton()
         _automaton = a
@@ -79,6 +84,21 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def iban_end(text: str, start: int, end: int) -> int:
+    """End of the longest run of whole groups in ``text[start:end]`` whose IBAN
+    check digits hold, or ``start``."""
+    while end > start:
+        # A group is whole if no letter or digit follows.
+        if not text[end:end + 1].isalnum():
+            plain = text[start:end].replace(" ", "")
+            if len(plain) < 15:
+                break
+            if int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+                return end
+        end = text.rfind(" ", start, end)
+    return start
+
+
 def scan(text: str | None) -> list[tuple[str, int, int]]:
     """All spans of a text as (kind, start, end), by kind, then start."""
     if not text:
@@ -118,8 +138,14 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
             m = (_CLOUD_KEY if what == "k" else _VALUE).match(text, last + 1)
             if m and what == "k":
                 take("account", p, m.end())
-            elif m and any(c in _DIGITS for c in m[1]):
-                take("account", m.start(1), m.end(1))
+                continue
+            start, end = m.span(1) if m and any(c in _DIGITS for c in m[1]) else (0, 0)
+            if what == "i" and (m := _IBAN.match(text, last + 1)):
+                whole = iban_end(text, *m.span(1))
+                if whole > max(end, m.start(1)):
+                    start, end = m.start(1), whole
+            if end:
+                take("account", start, end)
     return [s for k in KINDS for s in found[k]]
 
 

@@ -66,6 +66,22 @@ def test_redaction_merges_overlaps_and_leaves_clean_text():
     assert P.redacted("clean text") == "clean text" and P.redacted(None) is None and P.redacted("") == ""
 
 
+def test_long_and_quoted_values_go_whole():
+    secret = "a1B2-" * 1000
+    assert P.redacted(f"token={secret} x") == "token=[ACCOUNT] x"
+    assert P.redacted(f"see https://me:{secret}@host.org/a x") == "see [URL] x"
+    assert P.redacted('{"password": "hunter22", \'api_key\': \'k3yk3yk3y\'}') == '{"password": "[ACCOUNT]", \'api_key\': \'[ACCOUNT]\'}'
+
+
+def test_ibans_with_blanks():
+    assert P.redacted("IBAN: DE89 3704 0044 0532 0130 00") == "IBAN: [ACCOUNT]"
+    assert P.redacted("IBAN: GB82 WEST 1234 5698 7654 32 BIC ABCD, due") == "IBAN: [ACCOUNT] BIC ABCD, due"
+    assert P.redacted("iban=nl91 abna 0417 1643 00 is mine") == "iban=[ACCOUNT] is mine"
+    assert P.redacted("IBAN: DE89370400440532013000 AND MORE") == "IBAN: [ACCOUNT] AND MORE"
+    # No check digits, no IBAN.
+    assert P.redacted("IBAN: DE88 3704 0044 0532 0130 00") == "IBAN: DE88 3704 0044 0532 0130 00"
+
+
 def test_long_runs_are_linear():
     for text in ("a" * 200_000 + "@", "1" * 200_000, "1." * 100_000, "+1" * 100_000, "@a" * 100_000, "password" * 30_000):
         P.scan(text)
