@@ -84,6 +84,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def octet(digits: str) -> bool:
+    """Whether a number of any length is at most 255."""
+    digits = digits.lstrip("0")
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def iban_end(text: str, start: int, end: int) -> int:
     """End of the longest run of whole groups in ``text[start:end]`` whose IBAN
     check digits hold, or ``start``."""
@@ -115,7 +121,7 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
         p = last + 1 - size
         if what == "0":
             if p >= done["ip"] and (p == 0 or text[p - 1] not in _DIGITS) and (m := _IP.match(text, p)):
-                take("ip", p, m.end(), all(len(x) < 6000 and int(x) <= 255 for x in m[0].split(".")))
+                take("ip", p, m.end(), all(map(octet, m[0].split("."))))
             if p >= done["card"] and (m := _CARD.match(text, p)):
                 digits = m[0].replace(" ", "").replace("-", "")
                 take("card", p, m.end(), 16 <= len(digits) <= 19 and luhn(digits))

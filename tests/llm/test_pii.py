@@ -82,6 +82,12 @@ def test_ibans_with_blanks():
     assert P.redacted("IBAN: DE88 3704 0044 0532 0130 00") == "IBAN: DE88 3704 0044 0532 0130 00"
 
 
+def test_octets_of_any_length():
+    assert P.scan("1.2.3." + "9" * 5000) == []
+    assert P.scan("1.2.3." + "0" * 7000 + "255") == [("ip", 0, 7009)]
+    assert P.scan("1.2.3." + "0" * 7000) == [("ip", 0, 7006)]
+
+
 def test_long_runs_are_linear():
     for text in ("a" * 200_000 + "@", "1" * 200_000, "1." * 100_000, "+1" * 100_000, "@a" * 100_000, "password" * 30_000):
         P.scan(text)
