@@ -10,7 +10,8 @@ descent in numpy (AdaGrad steps, one document at a time, seeded order).
 *Training* uses at most ``max_train_docs`` labelled documents (those with the
 smallest hash of the id; whole texts). Executors turn them into sparse feature
 rows; the driver receives only those rows, so its memory is bounded by that
-parameter. *Scoring* covers every whole text. The average and the layer are
+parameter. *Scoring* covers every whole text and every n-gram of a word, however
+long the word (texts written without blanks are one word). The average and the layer are
 linear, so a word's share of the logit is a constant: it is computed once per
 distinct word and worker, and the score equals the full forward pass.
 
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,21 +45,36 @@ GRAMS = (3, 4)
 SAME = 0
 #: Words whose features a Python worker keeps; beyond it the table starts anew.
 CACHE_WORDS = 1_000_000
+#: Bytes of new words whose features are held at a time (a longer word is alone).
+BLOCK = 1 << 20
 
 
 def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def features(word: bytes) -> list[int]:
-    """Buckets of a word and of its character n-grams."""
-    out = [zlib.crc32(word) % BUCKETS]
-    s = "<" + word.decode("utf-8", "surrogatepass")[:64] + ">"
+def features(word: bytes) -> array:
+    """Buckets of a word and of all its character n-grams."""
+    out = array("i", [zlib.crc32(word) % BUCKETS])
+    s = "<" + word.decode("utf-8", "surrogatepass") + ">"
     for n in GRAMS:
-        out += [zlib.crc32(s[i:i + n].encode("utf-8", "surrogatepass"), n) % BUCKETS for i in range(len(s) - n + 1)]
+        out.extend(zlib.crc32(s[i:i + n].encode("utf-8", "surrogatepass"), n) % BUCKETS for i in range(len(s) - n + 1))
     return out
 
 
+def blocks(new: list[bytes]) -> Iterator[list[bytes]]:
+    """The words in order, in lists of about ``BLOCK`` bytes."""
+    some, size = [], 0
+    for w in new:
+        some.append(w)
+        size += len(w)
+        if size >= BLOCK:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def bigrams(hashes: np.ndarray) -> np.ndarray:
     """Buckets of the word 2-grams, given the words' hashes in order."""
     a, b = hashes[:-1], hashes[1:]
@@ -74,7 +91,7 @@ def vector(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.float32)
     known = {w: features(w) for w in set(found)}
-    single = np.array([i for w in found for i in known[w]], np.int64)
+    single = np.concatenate([np.frombuffer(known[w], np.int32) for w in found])
     pairs = bigrams(np.array([zlib.crc32(w) for w in found], np.int64))
     half = 0.5 if len(pairs) else 1.0
     share = np.concatenate([np.full(len(single), half / len(single)), np.full(len(pairs), 0.5 / max(len(pairs), 1))])
@@ -107,12 +124,16 @@ class Model:
         found = [words(t) for t in texts]
         new = list({w for f in found for w in f}.difference(row))
         if new:
-            feats = [features(w) for w in new]
-            size = np.array([len(f) for f in feats])
-            flat = np.concatenate([np.array(f, np.int64) for f in feats])
+            sums, sizes = [], []
+            for some in blocks(new):
+                feats = [features(w) for w in some]
+                size = np.array([len(f) for f in feats])
+                flat = np.concatenate([np.frombuffer(f, np.int32) for f in feats])
+                sums.append(np.add.reduceat(self.logit[flat], np.cumsum(size) - size))
+                sizes.append(size)
             row.update(zip(new, range(len(row), len(row) + len(new))))
-            self._sum = np.concatenate([self._sum, np.add.reduceat(self.logit[flat], np.cumsum(size) - size)])
-            self._n = np.concatenate([self._n, size])
+            self._sum = np.concatenate([self._sum, *sums])
+            self._n = np.concatenate([self._n, *sizes])
             self._hash = np.concatenate([self._hash, np.fromiter(map(zlib.crc32, new), np.int64, len(new))])
         for i, f in enumerate(found):
             if f:

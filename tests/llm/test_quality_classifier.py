@@ -29,6 +29,19 @@ def test_score_equals_the_forward_pass():
         assert got == pytest.approx(1 / (1 + np.exp(-(0.25 + (model.logit[ids] * share).sum()))), rel=1e-5)
 
 
+def test_long_words_count_to_their_end():
+    start, good, bad = "天" * 80, "好的文字" * 30, "坏的东西" * 30
+    rows = [(label, *Q.vector(start + mark * n)) for n in (1, 2, 3) for label, mark in ((1, good), (0, bad))]
+    a, b = Q.train(rows).score([start + good[:60] + "一", start + bad[:60] + "二"])
+    assert a > 0.8 and b < 0.2
+    model = Q.Model(np.random.default_rng(5).normal(size=Q.BUCKETS), 0.0)
+    texts = ["x" * 70 + str(i) for i in range(30_000)] + ["好的" * 600_000]
+    ids, share = Q.vector(texts[-1])
+    got = model.score(texts)
+    assert got[-1] == pytest.approx(1 / (1 + np.exp(-(model.logit[ids] * share).sum())), rel=1e-4)
+    assert got[:5].tolist() == pytest.approx(model.score(texts[:5]).tolist()) and got[20_000] == pytest.approx(Q.Model(model.logit, 0.0).score([texts[20_000]])[0])
+
+
 def test_held_out_labels_are_not_read(spark):
     docs, labels = table(spark, SF, "documents").limit(150), table(spark, SF, "labels")
     flipped = labels.withColumn("quality", (crc_mod("doc_id", 5) == 0).cast("int") + labels["quality"])
