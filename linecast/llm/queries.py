@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linecast.llm import chat, embedding_dedup, langid, licenses, mixing, ngram_join, packing, pii, quality_classifier, quality_rules
+from linecast.llm import (
+    chat, collocations, embedding_dedup, hard_negatives, langid, licenses, mixing, ngram_join, packing, pii,
+    quality_classifier, quality_rules, substring_dedup,
+)
 from linecast.llm.common import crc_mod, table
 
 
@@ -68,6 +71,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summarize(docs, licenses.find_licenses(docs, licenses.fit(docs)))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    relabelled = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(relabelled, anchors=F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality_classifier": op2_quality_classifier,
@@ -79,6 +97,9 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_langid": op9_langid,
     "op10_licenses": op10_licenses,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -87,4 +108,7 @@ ORACLE_SQL: dict[str, str] = {
     "op5_mixing": mixing.oracle_sql(),
     "op7_quality_rules": quality_rules.ORACLE_SQL,
     "op8_chat": chat.oracle_sql(),
+    "op11_substring_dedup": substring_dedup.oracle_sql(),
+    "op12_collocations": collocations.oracle_sql(),
+    "op13_hard_negatives": hard_negatives.oracle_sql(),
 }
