@@ -33,20 +33,45 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or root
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+#: Removes a write's shuffle files at its end instead of when the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, tag: str, clean: bool = False) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage, so a lost executor costs a reread instead of a
     recomputation, and later steps see fixed rows and known sizes. The files
-    go when the driver's JVM ends.
+    go when the driver's JVM ends, or with :func:`release`. ``clean``: the
+    write's shuffle files go at once, for steps that leave large ones.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/linecast-llm/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
-    return spark.read.schema(df.schema).parquet(path)
+    was = spark.conf.get(_CLEANUP, "false")
+    try:
+        if clean:
+            spark.conf.set(_CLEANUP, "true")
+        df.write.parquet(path)
+    finally:
+        if clean:
+            spark.conf.set(_CLEANUP, was)
+    hpath, fs = _hadoop(spark, path)
+    fs.deleteOnExit(hpath)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`materialize` returned; what was
+    computed from it must be written by now."""
+    hpath, fs = _hadoop(df.sparkSession, df._scratch_path)
+    fs.delete(hpath, True)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:

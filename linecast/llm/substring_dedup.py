@@ -13,7 +13,7 @@ or another one. Windows are judged on the input, not on what is left.
 2. *Shared anchors* are those that occur twice or more: counts by hash with
    partial aggregation, and a semi-join that tells each text its own.
 3. *Extension.* A shared anchor is extended to the up to P windows that hold it
-   inside its text; their 128-bit digests are counted over all texts.
+   inside its text; their 96-bit digests are counted over all texts.
    Occurrences are never paired: a passage in a million texts costs a million
    rows, and the extension is as exact as a comparison word by word.
 4. *Removal.* Texts meet the windows found repeated and lose the covered words.
@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linecast.llm.common import materialize
+from linecast.llm.common import materialize, release
 from linecast.llm.wordhash import Words, mix, rolling, text_slices
 
 WINDOW = 35
@@ -66,8 +66,8 @@ def _anchors(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _digests(h: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit digests of the windows that start at words ``at``."""
-    return mix(rolling(h, window)[at]), mix(rolling(mix(h ^ _U(0x5851F42D4C957F2D)), window)[at])
+    """Digests of 64 and 32 bits of the windows that start at words ``at``."""
+    return mix(rolling(h, window)[at]), mix(rolling(mix(h ^ _U(0x5851F42D4C957F2D)), window)[at]) >> _U(32)
 
 
 def _distinct(row: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +119,7 @@ def _extend(window: int):
             starts = starts[np.cumsum(mark)[starts] > 0]
             x, y = _digests(words.hash, starts, window)
             one, n = _distinct(words.row[starts], x, y)
-            yield pa.RecordBatch.from_arrays([b.column("row").take(pa.array(words.row[starts[one]])), pa.array(x[one].view(np.int64)), pa.array(y[one].view(np.int64)), pa.array(n.astype(np.int64))], ["row", "x", "y", "n"])
+            yield pa.RecordBatch.from_arrays([b.column("row").take(pa.array(words.row[starts[one]])), pa.array(x[one].view(np.int64)), pa.array(y[one].astype(np.uint32).view(np.int32)), pa.array(n.astype(np.int64))], ["row", "x", "y", "n"])
 
     return run
 
@@ -177,14 +177,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = materialize(named, "substring-rows")
     texts = rows.select("row", "text")
 
+    # Each step is written and its shuffle files and inputs go before the next:
+    # at any time about two tables of the size of the texts are on disk.
     anchors = texts.mapInArrow(_find_anchors(window), "row long, h long, n long")
     shared = anchors.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
     hits = anchors.select("row", "h").join(shared, "h", "left_semi").groupBy("row").agg(F.collect_list("h").alias("hits"))
+    hits = materialize(hits, "substring-hits", clean=True)   # a text's list is as long as the text at most
 
-    # Written, since it is read twice; a text's list is as long as the text at most.
-    windows = materialize(texts.join(hits, "row").mapInArrow(_extend(window), "row long, x long, y long, n long"), "substring-windows")
+    windows = materialize(texts.join(hits, "row").mapInArrow(_extend(window), "row long, x long, y int, n long"), "substring-windows", clean=True)
+    release(hits)
     repeated = windows.groupBy("x", "y").agg(F.sum("n").alias("n")).where("n > 1").select("x", "y")
     found = windows.select("row", "x", "y").join(repeated, ["x", "y"], "left_semi").groupBy("row").agg(F.collect_list("x").alias("hits"))
+    found = materialize(found, "substring-found", clean=True)
+    release(windows)
 
     kind = rows.schema["id"].dataType.simpleString()
     out = rows.join(found, "row", "left").mapInArrow(_remove(window), f"id {kind}, n_words long, n_removed long, removed array<struct<start: long, end: long>>, kept string")
