@@ -5,6 +5,9 @@ white space, unchanged) of one text. A word is removed if a window that covers
 it has the same words as a window that starts anywhere else, in the same text
 or another one. Windows are judged on the input, not on what is left.
 
+Texts with the same words are one class: in a class of two or more every window
+is repeated, so its texts go whole, and one of them stands for all below.
+
 1. *Anchors.* Positions of a text count modulo a period P; a difference cover D
    holds, for any two positions i and j, a shift t < P with i + t and j + t
    both in D modulo P. Hashes of ``window`` - P + 1 words are taken at cover
@@ -19,7 +22,8 @@ or another one. Windows are judged on the input, not on what is left.
 4. *Removal.* Texts meet the windows found repeated and lose the covered words.
 
 An anchor or a window that repeats inside a text is one row with a count, so a
-line repeated a thousand times in a text is one row. Rows are keyed by a number
+line repeated a thousand times in a text is one row, and a window known to be
+repeated by its own count is not looked up. Rows are keyed by a number
 given to each row of the input in a written table, so reruns of lost tasks see
 the same numbers.
 
@@ -91,6 +95,24 @@ def _key(row: np.ndarray, h: np.ndarray) -> np.ndarray:
     return mix(h + mix(row.astype(np.uint64) + _U(1)))
 
 
+def _text_digests(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit digests of each text's words in their order."""
+    place = mix(np.arange(len(words.hash), dtype=np.uint64) - words.begin[words.row].astype(np.uint64) + _U(1))
+    out = []
+    for salt in (_U(0x2545F4914F6CDD1D), _U(0x9E6C63D0876A9A47)):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(mix(words.hash + salt) ^ place), dtype=np.uint64)])
+        out.append(total[words.begin + words.count] - total[words.begin])
+    return out[0], out[1]
+
+
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in text_slices(batches):
+        words = Words(b.column("text"))
+        d1, d2 = _text_digests(words)
+        extra = [pa.array(words.count.astype(np.int64)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64))]
+        yield pa.RecordBatch.from_arrays([*b.columns, *extra], [*b.schema.names, "words", "d1", "d2"])
+
+
 def _find_anchors(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches):
@@ -119,7 +141,8 @@ def _extend(window: int):
             starts = starts[np.cumsum(mark)[starts] > 0]
             x, y = _digests(words.hash, starts, window)
             one, n = _distinct(words.row[starts], x, y)
-            yield pa.RecordBatch.from_arrays([b.column("row").take(pa.array(words.row[starts[one]])), pa.array(x[one].view(np.int64)), pa.array(y[one].astype(np.uint32).view(np.int32)), pa.array(n.astype(np.int64))], ["row", "x", "y", "n"])
+            copies = b.column("copies").to_numpy()[words.row[starts[one]]]
+            yield pa.RecordBatch.from_arrays([b.column("row").take(pa.array(words.row[starts[one]])), pa.array(x[one].view(np.int64)), pa.array(y[one].astype(np.uint32).view(np.int32)), pa.array((n * copies).astype(np.int64)), pa.array(copies > 1)], ["row", "x", "y", "n", "copied"])
 
     return run
 
@@ -149,7 +172,8 @@ def _remove(window: int):
             mark = np.zeros(len(words.first) + 1, np.int64)
             np.add.at(mark, found, 1)
             np.add.at(mark, found + window, -1)
-            gone = np.cumsum(mark)[:-1] > 0
+            whole = pc.fill_null(b.column("whole"), False).to_numpy(zero_copy_only=False)
+            gone = (np.cumsum(mark)[:-1] > 0) | whole[words.row]
             # Runs of removed words, cut at the texts' ends.
             edge = np.zeros(len(gone) + 1, bool)
             edge[words.begin[words.count > 0]] = edge[-1] = True
@@ -174,25 +198,34 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if window < 1:
         raise ValueError("a window holds one word at least")
     named = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = materialize(named, "substring-rows")
+    kind = named.schema["id"].dataType.simpleString()
+    rows = materialize(named.mapInArrow(_describe, f"row long, id {kind}, text string, words long, d1 long, d2 long"), "substring-rows")
     texts = rows.select("row", "text")
+    long = rows.where(F.col("words") >= window).select("row", "words", "d1", "d2")
+    classes = long.groupBy("words", "d1", "d2").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("copies"))
+    classes = materialize(classes, "substring-classes")
 
     # Each step is written and its shuffle files and inputs go before the next:
     # at any time about two tables of the size of the texts are on disk.
     anchors = texts.mapInArrow(_find_anchors(window), "row long, h long, n long")
     shared = anchors.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
     hits = anchors.select("row", "h").join(shared, "h", "left_semi").groupBy("row").agg(F.collect_list("h").alias("hits"))
+    hits = hits.join(classes.select(F.col("first").alias("row"), "copies"), "row")
     hits = materialize(hits, "substring-hits", clean=True)   # a text's list is as long as the text at most
 
-    windows = materialize(texts.join(hits, "row").mapInArrow(_extend(window), "row long, x long, y int, n long"), "substring-windows", clean=True)
+    windows = texts.join(hits, "row").mapInArrow(_extend(window), "row long, x long, y int, n long, copied boolean")
+    windows = materialize(windows, "substring-windows", clean=True)
     release(hits)
     repeated = windows.groupBy("x", "y").agg(F.sum("n").alias("n")).where("n > 1").select("x", "y")
-    found = windows.select("row", "x", "y").join(repeated, ["x", "y"], "left_semi").groupBy("row").agg(F.collect_list("x").alias("hits"))
-    found = materialize(found, "substring-found", clean=True)
+    looked_up = windows.where("n = 1").select("row", "x", "y").join(repeated, ["x", "y"], "left_semi")
+    # A window that a text holds twice is repeated as it is; copied texts go whole.
+    found = looked_up.select("row", "x").unionByName(windows.where("n > 1 and not copied").select("row", "x")).groupBy("row").agg(F.collect_list("x").alias("hits"))
+    found = found.withColumn("whole", F.lit(False))
+    whole = long.join(classes.where("copies > 1"), ["words", "d1", "d2"]).select("row", F.array().cast("array<long>").alias("hits"), F.lit(True).alias("whole"))
+    found = materialize(found.unionByName(whole), "substring-found", clean=True)
     release(windows)
 
-    kind = rows.schema["id"].dataType.simpleString()
-    out = rows.join(found, "row", "left").mapInArrow(_remove(window), f"id {kind}, n_words long, n_removed long, removed array<struct<start: long, end: long>>, kept string")
+    out = rows.select("row", "id", "text").join(found, "row", "left").mapInArrow(_remove(window), f"id {kind}, n_words long, n_removed long, removed array<struct<start: long, end: long>>, kept string")
     return out.withColumnRenamed("id", id_col)
 
 
