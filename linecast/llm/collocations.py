@@ -18,8 +18,8 @@ ends, and pieces into words at blanks; phrases lie within a piece.
    plus ``lost`` reaches ``min_count`` survive.
    Words and pairs come first; longer n-grams are summarised only where all
    their pairs survive, since no part of a frequent phrase is rarer than it.
-2. *Exact counts.* A second pass counts the n-grams that survive, as strings.
-   Tasks know the survivors by a bitmap of bounded size (``MAX_BITS``); what it
+2. *Exact counts.* A second pass counts the n-grams that survive, as strings,
+   summed per task and again per hash partition. Tasks know the survivors by a bitmap of bounded size (``MAX_BITS``); what it
    lets through by mistake is counted as well and falls at ``min_count``.
 3. *Scores* are joins of the counts table with itself. Arithmetic is decimal
    with 38 digits, so products past 64 bits are exact.
@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -185,9 +186,14 @@ def _merge(min_count: int, capacity: int):
     return run
 
 
+def _parts(mass: int, min_count: int, capacity: int) -> int:
+    """Hash partitions: on average half the mass that the capacity is enough for."""
+    return max(1, -(-2 * mass // (capacity * min_count)))
+
+
 def _survivors(texts: DataFrame, sizes: range, pairs, mass: int, min_count: int, capacity: int, gather: int, tag: str) -> DataFrame:
     """(h) of the n-grams of these sizes that may be frequent. ``mass``: at least their number."""
-    parts = max(1, -(-2 * mass // (capacity * min_count)))
+    parts = _parts(mass, min_count, capacity)
     rows = texts.mapInArrow(_counters(sizes, pairs, parts, gather), "part long, mass long, keys array<long>, counts array<int>")
     return materialize(rows.groupBy("part").applyInArrow(_merge(min_count, capacity), "h long"), tag)
 
@@ -234,30 +240,69 @@ def bitmap(keys: DataFrame, most: int = MAX_BITS) -> Bitmap:
 # --- exact counts ---------------------------------------------------------------------
 
 
-def _phrases(grams: Grams, at: np.ndarray, size: int) -> list[bytes]:
+def _phrases(grams: Grams, at: np.ndarray, size: int) -> pa.Array:
     """The ``size`` words from each of the words ``at``, one blank between them."""
     text = grams.words.folded().tobytes()
     first, last = grams.words.first[at].tolist(), grams.words.last[at + size - 1].tolist()
-    return [b" ".join(text[i:j].split()) for i, j in zip(first, last)]
+    return pa.array([b" ".join(text[i:j].split()) for i, j in zip(first, last)], pa.binary()).cast(pa.string())
+
+
+def _known(grams: Grams, sizes: range, known: Bitmap) -> pa.Table:
+    """(h, lang, words, phrase, n) of a slice's n-grams in the bitmap."""
+    short = ((k, at, grams.hashes(k, at)) for k in sizes if k <= 2 for at in [grams.starts(k)])
+    tables = []
+    for size, at, h in (*short, *grams.by_pairs(range(max(3, sizes.start), sizes.stop), known)):
+        held = known.holds(h)
+        at, h = at[held], h[held]
+        order = np.argsort(h, kind="stable")
+        first = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1])) if len(h) else np.zeros(0, np.int64)
+        one, n = at[order[first]], np.diff(np.append(first, len(h)))
+        lang = grams.langs.take(pa.array(grams.lang[grams.words.row[one]])).cast(pa.string())
+        tables.append(pa.table({"h": pa.array(h[order[first]]), "lang": lang, "words": pa.array(np.full(len(one), size), pa.int32()), "phrase": _phrases(grams, one, size), "n": pa.array(n, pa.int64())}))
+    return pa.concat_tables(tables)
+
 
+def _sums(rows: pa.Table, *more: str) -> pa.Table:
+    """Counts of equal phrases of a language, added up."""
+    found = rows.group_by([*more, "lang", "words", "phrase"]).aggregate([("n", "sum")])
+    return found.rename_columns([*more, "lang", "words", "phrase", "n"])
 
-def _exact(sizes: range, known):
-    """Task: texts -> (lang, words, phrase, n) of the n-grams in the bitmap, per slice."""
+
+def _exact(sizes: range, known, parts: int, gather: int):
+    """Task: texts -> one row per hash partition and flush, (part, found)."""
+
+    def flush(held: list[pa.Table]) -> pa.RecordBatch:
+        rows = _sums(pa.concat_tables(held), "h").sort_by("h").combine_chunks()
+        part = ((rows["h"].to_numpy() >> _U(32)) * _U(parts) >> _U(32)).astype(np.int64)
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+        names = ["lang", "words", "phrase", "n"]
+        items = pa.StructArray.from_arrays([rows[c].combine_chunks() for c in names], names)
+        return pa.RecordBatch.from_arrays([pa.array(part[first]), pa.ListArray.from_arrays(pa.array(np.append(first, len(part)), pa.int32()), items)], ["part", "found"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for b in text_slices(batches):
-            grams = Grams(b)
-            own = ((k, at, grams.hashes(k, at)) for k in sizes if k <= 2 for at in [grams.starts(k)])
-            longer = grams.by_pairs(range(max(3, sizes.start), sizes.stop), known.value)
-            for size, at, h in (*own, *longer):
-                held = known.value.holds(h)
-                at, h = at[held], h[held]
-                order = np.argsort(h, kind="stable")
-                first = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1])) if len(h) else np.zeros(0, np.int64)
-                one, n = at[order[first]], np.diff(np.append(first, len(h)))
-                lang = grams.langs.take(pa.array(grams.lang[grams.words.row[one]]))
-                phrase = pa.array(_phrases(grams, one, size), pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(one), size), pa.int32()), phrase, pa.array(n, pa.int64())], ["lang", "words", "phrase", "n"])
+            held.append(_known(Grams(b), sizes, known.value))
+            n += held[-1].num_rows
+            if n >= gather:
+                held = [_sums(pa.concat_tables(held), "h")]
+                n = held[0].num_rows
+                if 2 * n >= gather:
+                    yield flush(held)
+                    held, n = [], 0
+        if n:
+            yield flush(held)
+
+    return run
+
+
+def _total(min_count: int):
+    """Task of one hash partition: the exact counts of its frequent phrases."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        items = rows["found"].combine_chunks().flatten()
+        found = _sums(pa.table({c: items.field(c) for c in ("lang", "words", "phrase", "n")}))
+        return found.filter(pc.greater_equal(found["n"], min_count)).rename_columns(["lang", "words", "phrase", "f"])
 
     return run
 
@@ -273,8 +318,10 @@ def frequent_phrases(texts: DataFrame, words: int, max_words: int = MAX_WORDS, m
         long = range(3, max_words + 1)
         known = known.unionByName(_survivors(texts, long, pairs, len(long) * words, min_count, capacity, gather, "collocation-long"))
     sent = context.broadcast(bitmap(known, max_bits))
-    counted = texts.mapInArrow(_exact(range(1, max_words + 1), sent), "lang string, words int, phrase string, n long")
-    return counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+    # At most as many phrases meet in a partition as n-grams did before.
+    parts = _parts(max_words * words, min_count, capacity)
+    rows = texts.mapInArrow(_exact(range(1, max_words + 1), sent, parts, max(1, gather // 8)), "part long, found array<struct<lang: string, words: int, phrase: string, n: long>>")
+    return rows.groupBy("part").applyInArrow(_total(min_count), "lang string, words int, phrase string, f long")
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
