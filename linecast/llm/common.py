@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -81,6 +82,26 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield b.slice(at, rows)
 
 
+#: Memory that an operator's word table may take in a Python worker; beyond it the table starts anew.
+TABLE_BYTES = 48 << 20
+#: What an entry takes besides its word: two objects' heads and the table's slot.
+ENTRY_BYTES = 240
+
+
+def table_bytes(words, each: int = ENTRY_BYTES) -> int:
+    """Memory of table entries for these words."""
+    return sum(map(len, words)) + each * len(words)
+
+
+def _trim() -> None:
+    """Give freed memory back to the system (glibc keeps it otherwise)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 _cache_owner: tuple[object, Callable[[], None]] | None = None
 
 
@@ -93,7 +114,7 @@ def own_cache(name: object, forget: Callable[[], None]) -> None:
     global _cache_owner
     if _cache_owner is not None and _cache_owner[0] != name:
         _cache_owner[1]()
-        pa.default_memory_pool().release_unused()
+        _trim()
     _cache_owner = (name, forget)
 
 

@@ -33,13 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linecast.llm.common import own_cache, slices
+from linecast.llm.common import ENTRY_BYTES, TABLE_BYTES, own_cache, slices, table_bytes
 
 ORDER = 4
 MAX_DOCS_PER_LANG = 300
 MAX_LANGS = 1000
-#: Words whose code lengths a Python worker keeps; beyond it the table starts anew.
-CACHE_WORDS = 1_000_000
 
 _FOLD = bytes(b if 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
@@ -149,14 +147,16 @@ class Model:
     def bits(self, texts: list[list[bytes]]) -> np.ndarray:
         """Code length of each text (as words) in each language."""
         own_cache(self.token, self.forget)
-        if not hasattr(self, "_row") or len(self._row) > CACHE_WORDS:
+        if not hasattr(self, "_row") or self._held > TABLE_BYTES:
             self._row: dict[bytes, int] = {}
+            self._held = 0
             self._table = np.zeros((0, len(self.langs)))
         new = list({w for t in texts for w in t}.difference(self._row))
         if new:
             rows = [self.code_lengths(new[i:i + 50_000]) for i in range(0, len(new), 50_000)]
             self._row.update(zip(new, range(len(self._row), len(self._row) + len(new))))
             self._table = np.concatenate([self._table, *rows])
+            self._held += table_bytes(new, ENTRY_BYTES + 8 * len(self.langs))
         out = np.zeros((len(texts), len(self.langs)))
         for i, t in enumerate(texts):
             out[i] = self._table[np.fromiter(map(self._row.__getitem__, t), np.int64, len(t))].sum(axis=0)
@@ -228,9 +228,10 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return narrow.mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang", min_score: float = 0.5) -> DataFrame:
-    """The rows whose language is identified (not ``und``, posterior at least
-    ``min_score``), all columns kept, ``lang_col`` set to the prediction."""
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang", min_score: float = 0.0) -> DataFrame:
+    """The rows whose language is identified (not ``und``; with ``min_score``, a
+    posterior of at least that), all columns kept, ``lang_col`` set to the
+    prediction."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

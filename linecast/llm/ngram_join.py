@@ -46,14 +46,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linecast.llm.common import materialize, own_cache
+from linecast.llm.common import TABLE_BYTES, materialize, own_cache, table_bytes
 from linecast.llm.components import connected_components
 
 SHINGLE = 5
 PERCENT = 80
 BLOCK_WEIGHT = 2_000_000
-#: Words whose hashes a Python worker keeps; beyond it the table starts anew.
-CACHE_WORDS = 1_000_000
 #: Largest candidate list that is broadcast to filter texts; beyond it they are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -66,6 +64,14 @@ _BITS = 1 << 16
 _LEAF, _FAN = 8, 4
 _U = np.uint64
 _word_hash: dict[bytes, int] = {}
+_held_bytes = 0
+
+
+def _forget() -> None:
+    """Drop the table of word hashes."""
+    global _held_bytes
+    _word_hash.clear()
+    _held_bytes = 0
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -80,12 +86,15 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not found:
         return np.zeros(0, np.uint64)
+    global _held_bytes
     known = _word_hash
-    own_cache("ngram_join", known.clear)
-    if len(known) > CACHE_WORDS:
-        known.clear()
-    for w in set(found).difference(known):
+    own_cache("ngram_join", _forget)
+    if _held_bytes > TABLE_BYTES:
+        _forget()
+    new = set(found).difference(known)
+    for w in new:
         known[w] = xxhash.xxh3_64_intdigest(w)
+    _held_bytes += table_bytes(new)
     h = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
     size = min(k, len(h))
     acc = np.zeros(len(h) - size + 1, np.uint64)
@@ -401,17 +410,31 @@ def _large_groups(large: DataFrame, labels: DataFrame, docs: DataFrame, k: int,
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, one document per component: the one with the
-    smallest id. Rows that repeat that id are reduced to one."""
-    joined = ngram_join(docs, id_col, text_col, **options)
-    joined = materialize(joined.select(F.col(id_col).alias("_id"), (F.col(id_col) != F.col("component_id")).alias("_drop"), "component_id"), "ngram-kept")
-    gone = joined.where("_drop").select("_id").distinct()
+    """The rows of ``docs``, one document per group of linked texts: the one with
+    the smallest id. Rows without an id all stay.
+
+    Where ids repeat, rows are told apart by numbers of their own, so a row goes
+    only if its own text is in another row's group."""
+    if docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
+        joined = ngram_join(docs, id_col, text_col, **options)
+        gone = joined.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone"))
+        return _without(docs, materialize(gone, "ngram-gone"), id_col)
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "ngram-numbered")
+    named = numbered.where(F.col(id_col).isNotNull())
+    groups = materialize(ngram_join(named, row, text_col, **options).select(F.col(row).alias("_n"), F.col("component_id").alias("_group")), "ngram-groups")
+    ids = groups.join(named.select(F.col(row).alias("_m"), F.col(id_col).alias("_id")), F.col("_n") == F.col("_m"))
+    first = ids.groupBy("_group").agg(F.min(F.struct("_id", "_n")).alias("_first")).select(F.col("_first._n").alias("_stays"))
+    gone = groups.join(first, F.col("_n") == F.col("_stays"), "left_anti").select(F.col("_n").alias("_gone"))
+    return _without(numbered, materialize(gone, "ngram-gone"), row).drop(row)
+
+
+def _without(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """The rows whose id is not in column ``_gone``; broadcast by counted size."""
     small = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    kept = docs.join(small, docs[id_col] == small["_id"], "left_anti")
-    if joined.where("_id is not null").groupBy("_id").count().where("count > 1").isEmpty():
-        return kept
-    named = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return named.unionByName(kept.where(F.col(id_col).isNull()))
+    return docs.join(small, docs[id_col] == small["_gone"], "left_anti")
 
 
 def oracle_sql(k: int, percent: int) -> str:

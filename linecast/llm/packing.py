@@ -15,11 +15,13 @@ Each island evolves its own population (seeded by its number, so retries
 agree) and stops early at the lower bound ceil(sum / capacity). After an epoch
 the elite's well-filled bins are final; its remaining bins migrate, as whole
 bins, to the fewer islands of the next epoch, whose first individual they are.
-Epochs end when one island is left, so the work is spread over the cluster and
-no task holds more than an island.
+From epoch ``patience`` on only an island's poorest bins migrate, so that lengths
+that never fill a bin well end too. Epochs end when one island is left (or when
+three of them leave as many pieces as they found), so the work is spread over
+the cluster and no task holds more than an island.
 
 *Tokenizing.* The vocabulary's own model encodes one pre-token at a time;
-results are kept per word (bounded table), so repeated words cost a lookup.
+results are kept per word (a table bounded in bytes), so repeated words cost a lookup.
 Splitting at ASCII white space first is exact, because the pre-tokenizer drops
 white space and no rule reaches across it.
 
@@ -31,6 +33,7 @@ rows of their own; extra columns are ignored.
 from __future__ import annotations
 
 import bisect
+import itertools
 import random
 import re
 import unicodedata
@@ -42,18 +45,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linecast.llm.common import materialize, own_cache, slices
+from linecast.llm.common import ENTRY_BYTES, TABLE_BYTES, materialize, own_cache, slices, table_bytes
 
 CAPACITY = 2048
 SEPARATOR = 0
 ISLAND_SIZE = 2048
 POPULATION = 6
 GENERATIONS = 24
-EPOCHS = 4
+#: From this epoch on an island passes on only its ``POOREST`` bins, so that islands end in one.
+PATIENCE, POOREST = 4, 2
 #: A bin this full is final after an epoch.
 WELL_FILLED = 0.999
-#: Words whose ids a Python worker keeps; beyond it the table starts anew.
-CACHE_WORDS = 1_200_000
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -80,18 +82,21 @@ class WordEncoder:
         self.chars = _byte_characters()
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.held = 0
         self.special = re.compile(b"|".join(re.escape(t.content.encode()) for t in self.whole.get_added_tokens_decoder().values()) or b"(?!)")
 
     def forget(self) -> None:
         """Drop the tables of word and pre-token ids."""
         self.words.clear()
         self.parts.clear()
+        self.held = 0
 
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
             mapped = part.encode("utf-8").decode("latin-1").translate(self.chars)
             ids = self.parts[part] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+            self.held += table_bytes((part, ids), ENTRY_BYTES // 2)
         return ids
 
     def _word(self, word: bytes) -> bytes:
@@ -106,11 +111,12 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         known = self.words
-        if len(known) > CACHE_WORDS:
+        if self.held > TABLE_BYTES:
             self.forget()
         found = text.encode("utf-8").split()
         for w in set(found).difference(known):
-            known[w] = self._word(w)
+            ids = known[w] = self._word(w)
+            self.held += table_bytes((w, ids), ENTRY_BYTES // 2)
         return b"".join(map(known.__getitem__, found))
 
 
@@ -164,11 +170,12 @@ def fill(b: list[int], size: list[int]) -> int:
     return sum(map(size.__getitem__, b))
 
 
-def best_fit(bins: Bins, items: Iterable[int], size: list[int], capacity: int) -> Bins:
-    """Put each item, longest first, into the fullest bin that still takes it."""
+def best_fit(bins: Bins, items: Iterable[int], size: list[int], capacity: int, in_order: bool = False) -> Bins:
+    """Put each item, longest first (``in_order``: as they come), into the
+    fullest bin that still takes it."""
     out = [list(b) for b in bins]
     free = sorted((capacity - fill(b, size), k) for k, b in enumerate(out))
-    for i in sorted(items, key=lambda i: (-size[i], i)):
+    for i in items if in_order else sorted(items, key=lambda i: (-size[i], i)):
         n = size[i]
         at = bisect.bisect_left(free, (n, -1))
         if at < len(free):
@@ -224,7 +231,10 @@ def evolve(size: list[int], migrants: Bins, seed: int, capacity: int = CAPACITY,
     if n >= 3 and -max(p.fitness for p in people)[0] > bound:
         rng = random.Random(seed)
         while len(people) < population:
-            people.append(mutate(people[0], size, capacity, rng))
+            # Best fit in orders that are longest first only roughly: parents that differ.
+            noise = [rng.uniform(0.5, 1.0) for _ in range(n)]
+            order = sorted(range(n), key=lambda i: (-size[i] * noise[i], i))
+            people.append(Individual(best_fit([], order, size, capacity, in_order=True), size, capacity))
         for _ in range(generations):
             people.sort(key=lambda p: p.fitness, reverse=True)
             if -people[0].fitness[0] <= bound:
@@ -235,8 +245,9 @@ def evolve(size: list[int], migrants: Bins, seed: int, capacity: int = CAPACITY,
     return max(people, key=lambda p: p.fitness).bins
 
 
-def _island(id_col: str, epoch: int, last: bool, capacity: int, seed: int):
-    """The function that packs one island's rows in one epoch."""
+def _island(id_col: str, epoch: int, last: bool, poorest: int | None, capacity: int, seed: int):
+    """The function that packs one island's rows in one epoch; with ``poorest``
+    all but so many bins are final."""
 
     def island(key, rows):
         rows = rows.drop_columns(["_island"])
@@ -250,7 +261,8 @@ def _island(id_col: str, epoch: int, last: bool, capacity: int, seed: int):
         bins = evolve(size, list(migrants.values()), seed * 1_000_003 + 131 * epoch + number, capacity)
         bin_of, offset, final = [0] * len(size), [0] * len(size), [False] * len(size)
         for k, b in enumerate(bins):
-            at, done = 0, last or fill(b, size) >= WELL_FILLED * capacity
+            # Bins come fullest first.
+            at, done = 0, last or fill(b, size) >= WELL_FILLED * capacity or poorest is not None and k < len(bins) - poorest
             for i in b:
                 # A bin's number is unique over epochs, islands and bins.
                 bin_of[i], offset[i], final[i] = (epoch << 58) + (number << 20) + k, at, done
@@ -261,7 +273,7 @@ def _island(id_col: str, epoch: int, last: bool, capacity: int, seed: int):
     return island
 
 
-def pack(cut: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, island_size: int = ISLAND_SIZE, epochs: int = EPOCHS, seed: int = 7) -> DataFrame:
+def pack(cut: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, island_size: int = ISLAND_SIZE, patience: int = PATIENCE, seed: int = 7) -> DataFrame:
     """``cut`` (rows of ``pieces``, lengths up to ``capacity``) -> the same rows
     with ``sequence_id`` and ``offset``."""
     columns = [id_col, "piece", "start", "length", "ids_crc32"]
@@ -273,13 +285,19 @@ def pack(cut: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, islan
     todo = cut.where(~full).select(*columns, F.xxhash64(F.lit(seed), *columns).alias("_h"), F.lit(None).cast("long").alias("sequence_id"))
     fields = f"{id_col} {kind}, piece int, start long, length long, ids_crc32 long, _h long, sequence_id long, offset long, final boolean"
 
-    for epoch in range(epochs):
-        islands = max(1, -(-todo.count() // island_size))
-        last = islands == 1 or epoch == epochs - 1
+    before, stalled = None, 0
+    for epoch in itertools.count():
+        left = todo.count()
+        islands = max(1, -(-left // island_size))
+        stalled = stalled + 1 if before is not None and left >= before else 0
+        before = left
+        # Islands whose bins hold most of their pieces each cannot get fewer: they end apart.
+        last = islands == 1 or stalled == 3
+        poorest = POOREST if epoch >= patience else None
         # Rows are dealt one by one at first (equal rows must not meet in one island), then bin by bin.
         mark = F.xxhash64(F.lit(epoch), "sequence_id") if epoch else F.xxhash64("_h", F.monotonically_increasing_id())
         deal = F.pmod(mark, F.lit(islands)).cast("long")
-        packed = materialize(todo.withColumn("_island", deal).groupBy("_island").applyInArrow(_island(id_col, epoch, last, capacity, seed), fields), f"packing-epoch{epoch}")
+        packed = materialize(todo.withColumn("_island", deal).groupBy("_island").applyInArrow(_island(id_col, epoch, last, poorest, capacity, seed), fields), f"packing-epoch{epoch}")
         out = out.unionByName(packed.where("final").select(*columns, "sequence_id", "offset"))
         if last:
             break

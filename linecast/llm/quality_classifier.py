@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linecast.llm.common import own_cache, slices
+from linecast.llm.common import ENTRY_BYTES, TABLE_BYTES, own_cache, slices, table_bytes
 
 BUCKETS = 1 << 17
 DIM = 8
@@ -43,8 +43,6 @@ STEP = 0.5
 GRAMS = (3, 4)
 #: The bucket of a word's 2-gram with itself.
 SAME = 0
-#: Words whose features a Python worker keeps; beyond it the table starts anew.
-CACHE_WORDS = 1_000_000
 #: Bytes of new words whose features are held at a time (a longer word is alone).
 BLOCK = 1 << 20
 
@@ -117,8 +115,9 @@ class Model:
     def score(self, texts: list[str | None]) -> np.ndarray:
         """Probability of class 1 for each text."""
         own_cache(self.token, self.forget)
-        if not hasattr(self, "_row") or len(self._row) > CACHE_WORDS:
+        if not hasattr(self, "_row") or self._held > TABLE_BYTES:
             self._row: dict[bytes, int] = {}
+            self._held = 0
             self._sum, self._n, self._hash = np.zeros(0), np.zeros(0), np.zeros(0, np.int64)
         row, out = self._row, np.full(len(texts), self.bias)
         found = [words(t) for t in texts]
@@ -131,6 +130,7 @@ class Model:
                 flat = np.concatenate([np.frombuffer(f, np.int32) for f in feats])
                 sums.append(np.add.reduceat(self.logit[flat], np.cumsum(size) - size))
                 sizes.append(size)
+            self._held += table_bytes(new, ENTRY_BYTES + 24)
             row.update(zip(new, range(len(row), len(row) + len(new))))
             self._sum = np.concatenate([self._sum, *sums])
             self._n = np.concatenate([self._n, *sizes])
@@ -179,14 +179,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(max_train_docs)
     )
     # Broadcast: at most max_train_docs rows of two numbers.
-    joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(marked), "id").select("label", "text")
+    joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(marked), "id")
+    # Rows that repeat an id count once, by their smallest text.
+    joined = joined.groupBy("id", "label").agg(F.min("text").alias("text")).select("label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             got = [vector(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array([x[0].astype(np.int32) for x in got], pa.list_(pa.int32())), pa.array([x[1] for x in got], pa.list_(pa.float32()))], ["label", "ids", "share"])
 
-    rows = joined.mapInArrow(run, "label int, ids array<int>, share array<float>").limit(2 * max_train_docs).toArrow()
+    rows = joined.mapInArrow(run, "label int, ids array<int>, share array<float>").toArrow()
     got = [(label, ids.values.to_numpy().astype(np.int64), share.values.to_numpy()) for label, ids, share in zip(rows["label"].to_pylist(), rows["ids"], rows["share"]) if len(ids.values)]
     # A fixed order, whatever order the partitions came in.
     got.sort(key=lambda r: (r[0], zlib.crc32(r[1].tobytes()), zlib.crc32(r[2].tobytes())))

@@ -121,3 +121,19 @@ def test_keep_one(spark):
     ids = sorted(str(r["doc_id"]) for r in kept.collect())
     assert ids == sorted(map(str, [1, 4, 5, 6, 7, 8, None, 9, 10, 11, 12]))
     assert kept.columns == awkward(spark).columns
+
+
+def test_keep_one_decides_by_row_where_ids_repeat(spark):
+    a, b, x, y = (prose(50 + i, 40) for i in range(4))
+    rows = [(1, a, "r"), (2, a, "s"), (2, b, "t"), (3, x, "u"), (3, y, "v"), (None, a, "w"), (None, a, "w"), (7, "", "x"), (7, "", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string")
+    kept = G.keep_one(docs)
+    assert sorted(r["_row"] for r in kept.collect()) == ["r", "t", "u", "v", "w", "w", "x", "y"] and kept.columns == docs.columns
+
+
+def test_word_table_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(G, "TABLE_BYTES", 20_000)
+    for i in range(40):
+        text = " ".join(f"w{i}-{j}" for j in range(50))
+        assert np.array_equal(G.shingles(text, 3), G.shingles(text, 3))
+    assert len(G._word_hash) < 200

@@ -89,3 +89,25 @@ def test_genetic_steps_beat_best_fit_and_keep_all_items():
         bins = K.evolve(size, [], seed, capacity=100)
         assert sorted(i for b in bins for i in b) == list(range(80)) and all(K.fill(b, size) <= 100 for b in bins)
         assert len(bins) <= len(K.best_fit([], range(80), size, 100))
+
+
+def test_genetic_steps_save_sequences():
+    """On these lengths best fit decreasing misses the bound and evolution does better."""
+    saved = 0
+    for seed in range(6):
+        size = np.random.default_rng(seed).integers(250, 500, 120).tolist()
+        bins = K.evolve(size, [], seed, capacity=1000)
+        assert sorted(i for b in bins for i in b) == list(range(120)) and all(K.fill(b, size) <= 1000 for b in bins)
+        saved += len(K.best_fit([], range(120), size, 1000)) - len(bins)
+    assert saved >= 6
+
+
+def test_lengths_that_never_fill_a_bin_end_in_one_island(spark):
+    rows = [(i, 0, 0, 70 if i % 3 else 61, i) for i in range(600)]
+    cut = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    packed = K.pack(cut, capacity=100, island_size=16).collect()
+    assert sorted(r["doc_id"] for r in packed) == list(range(600))
+    # No two pieces fit together, so every piece is a sequence of its own.
+    assert len({r["sequence_id"] for r in packed}) == 600
+    small = spark.createDataFrame([(i, 0, 0, 1 + i % 3, i) for i in range(500)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    assert len({r["sequence_id"] for r in K.pack(small, capacity=100, island_size=16).collect()}) == 10
