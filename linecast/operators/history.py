@@ -178,36 +178,15 @@ def line_summary(ranked: DataFrame) -> DataFrame:
     )
 
 
-def summarize_lines(unified: DataFrame, rank_scope: str = "player_stat", null_weight: str = "keep",
-                    streak_side: str = "oldest") -> DataFrame:
-    """The per-line summary of :func:`line_summary` in one pass over the rows.
-
-    Options (defaults as in the reference): ``rank_scope`` (B3) ``player_stat``
-    ranks the rows of all lines of a player and stat together, ``line`` each
-    line alone; ``null_weight`` (B5) ``keep`` leaves the weight of a null value
-    in the denominator, ``drop`` takes it out; ``streak_side`` (B6) ``oldest``
-    averages the three oldest values for the streak, ``latest`` the newest.
+def scope_columns(rank_scope: str) -> list[str]:
+    """The columns within which history rows are ranked (B3)."""
+    return ["personid", "stat"] if rank_scope == "player_stat" else LINE_KEY
 
-    Only one shuffle moves history rows: the within-day windows over
-    (personid, stat, date). Everything after works on one row per (line, date):
 
-    * decay: sum(x * 0.95**(rk-1)) = sum over dates of
-      0.95**(rows on newer dates) * sum(x * 0.95**(day rank - 1)),
-    * season-tier mean: only the newest 82 positions have distinct weights, so
-      each (line, date) keeps its first 82 values (by position) in a bounded
-      array, the rest enters as a plain sum with weight 0.3,
-    * last three: each (line, date) keeps its last three values,
-    * standard deviation: per-date count, mean and squared deviations merged
-      with the parallel-variance formula.
-
-    The second shuffle moves (line, date) rows partitioned by (personid, stat):
-    a hot player's rows are spread over its dates, and its dates are bounded
-    by the calendar.
-    """
-    for given, known in ((rank_scope, ("player_stat", "line")), (null_weight, ("keep", "drop")), (streak_side, ("oldest", "latest"))):
-        if given not in known:
-            raise ValueError(f"{given!r} is none of {known}")
-    scope = ["personid", "stat"] if rank_scope == "player_stat" else LINE_KEY
+def day_rows(unified: DataFrame, scope: list[str], null_weight: str = "keep") -> DataFrame:
+    """One row per (line, game date) with what a date adds to the summary: row
+    and value counts, decay sums relative to the date's newest row, sum, mean,
+    squared deviations, extremes, and the date's first 82 and last 3 values."""
     # The exchange the windows need anyway, stated explicitly: on large input
     # Spark would insert this same hash partitioning (so it costs nothing
     # extra); on a single-split input it still spreads the work over all tasks.
@@ -226,7 +205,7 @@ def summarize_lines(unified: DataFrame, rank_scope: str = "player_stat", null_we
     )
     w_day = F.pow(F.lit(DECAY), F.col("_day_rk") - 1)
     value = F.struct(F.col("_p").alias("p"), F.col("x").alias("x"))
-    days = r.groupBy(*LINE_KEY, _DAY).agg(
+    return r.groupBy(*LINE_KEY, _DAY).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count("x").alias("_vals"),
         F.sum(F.col("x") * w_day).alias("_a"),
@@ -240,17 +219,55 @@ def summarize_lines(unified: DataFrame, rank_scope: str = "player_stat", null_we
         F.collect_list(F.when(F.col("_p") <= SEASON_GAMES, value)).alias("_head"),
         F.collect_list(F.when(F.col("_q") <= 3, value)).alias("_tail"),
     )
+
+
+def placed_days(days: DataFrame, scope: list[str]) -> DataFrame:
+    """``day_rows`` with their place in the history: rows of the scope on newer
+    dates, the line's values on newer dates, and the line's totals."""
     key_day_w = Window.partitionBy(*scope, _DAY)
     key_newer = Window.partitionBy(*scope).orderBy(F.col(_DAY).desc())
     line_newer = Window.partitionBy(*LINE_KEY).orderBy(F.col(_DAY).desc())
     line_all = Window.partitionBy(*LINE_KEY)
-    days = (
+    return (
         days.withColumn("_rk_base", F.sum("_rows").over(key_newer) - F.sum("_rows").over(key_day_w))
         .withColumn("_pos_base", F.sum("_vals").over(line_newer) - F.col("_vals"))
         .withColumn("_n", F.sum("_vals").over(line_all))
         .withColumn("_mean", F.try_divide(F.sum(F.col("_vals") * F.col("_mean_d")).over(line_all), F.col("_n")))
     )
 
+
+def summarize_lines(unified: DataFrame, rank_scope: str = "player_stat", null_weight: str = "keep",
+                    streak_side: str = "oldest") -> DataFrame:
+    """The per-line summary of :func:`line_summary` in one pass over the rows.
+
+    Options (defaults as in the reference): ``rank_scope`` (B3) ``player_stat``
+    ranks the rows of all lines of a player and stat together, ``line`` each
+    line alone; ``null_weight`` (B5) ``keep`` leaves the weight of a null value
+    in the denominator, ``drop`` takes it out; ``streak_side`` (B6) ``oldest``
+    averages the three oldest values for the streak, ``latest`` the newest.
+
+    Only one shuffle moves history rows: the within-day windows over
+    (personid, stat, date). Everything after works on one row per (line, date):
+
+    * decay: sum(x * 0.95**(rk-1)) = sum over dates of
+      0.95**(rows on newer dates) * sum(x * 0.95**(day rank - 1)),
+    * season-tier mean: only the newest 82 positions have distinct weights, so
+      each (line, date) keeps its first 82 values (by position) in a bounded
+      array, the rest enters as a plain sum with weight 0.3,
+    * last three: each (line, date) keeps its last three values,
+    * standard deviation: per-date count, mean and squared deviations merged
+      with the parallel-variance formula.
+
+    The second shuffle moves (line, date) rows partitioned by (personid, stat):
+    a hot player's rows are spread over its dates, and its dates are bounded
+    by the calendar.
+    """
+    for given, known in ((rank_scope, ("player_stat", "line")), (null_weight, ("keep", "drop")), (streak_side, ("oldest", "latest"))):
+        if given not in known:
+            raise ValueError(f"{given!r} is none of {known}")
+    scope = scope_columns(rank_scope)
+    days = placed_days(day_rows(unified, scope, null_weight), scope)
+
     def pos(e):
         return F.col("_pos_base") + e["p"] - 1
 

@@ -221,6 +221,18 @@ SELECT {_K}, {r6('base_avg')} AS base_avg, {r6('last3_avg')} AS last3_avg, strea
 Q["elite_flag"] = with_views(HISTORY + f"""
 SELECT {_K}, {r6('base_avg')} AS base_avg, game_count, is_elite FROM model""")
 
+Q["history_segments"] = with_views(HISTORY + f"""
+SELECT {_K}, CAST(pos // 82 AS BIGINT) AS segment, min(pos) AS first_pos, count(*) AS n_values,
+       string_agg(CAST(CAST(x AS DECIMAL(18,4)) AS VARCHAR), ',' ORDER BY pos) AS values, max(n_vals) AS n_vals
+FROM ranked WHERE pos IS NOT NULL GROUP BY personid, player_name, stat, line, team, pos // 82""")
+
+Q["segment_rules"] = with_views(HISTORY + f"""
+SELECT {_K}, game_count, {r6('recent_avg')} AS recent_avg, {r6('last3_avg')} AS last3_avg FROM summary""")
+
+Q["decay_from_state"] = with_views(HISTORY + f"""
+SELECT {_K}, {r6('base_avg')} AS base_avg, {r6('std_dev')} AS std_dev, {r6('min_val')} AS min_val,
+       {r6('max_val')} AS max_val, game_count, {r6('recent_avg')} AS recent_avg, {r6('last3_avg')} AS last3_avg FROM summary""")
+
 
 # --- scenario simulation ------------------------------------------------------------
 # Same seeded integer generator as linecast.functions.rng, written as SQL.

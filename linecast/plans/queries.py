@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from linecast.functions.fmt import round_doubles
 from linecast.session import configure
 from linecast.functions.names import with_name_parts
-from linecast.operators import averages, counts, history, reports, resolve, scenario
+from linecast.operators import averages, counts, history, history_state, reports, resolve, scenario, segments
 from linecast.sinks import append
 from linecast.sources import triggers as trg
 from linecast.sources import fixtures as fx
@@ -154,6 +154,24 @@ def q_elite_flag(spark, d):
     return _summary(spark, d).select(*history.LINE_KEY, "base_avg", "game_count", "is_elite")
 
 
+def q_history_segments(spark, d):
+    return segments.concatenated(segments.history_segments(_unified(spark, d)))
+
+
+def q_segment_rules(spark, d):
+    return segments.rules_from_segments(segments.history_segments(_unified(spark, d)))
+
+
+# The day between the stored state and the games read after it.
+STATE_UNTIL = "1995-06-17"
+
+
+def q_decay_from_state(spark, d):
+    part = lambda **days: history_state.fold(history.unified_history(
+        fx.stats(spark, d), _props_with_id(spark, d), history_state.in_range(fx.games(spark, d), **days)))
+    return history_state.summary(history_state.merge(part(until=STATE_UNTIL), part(since=STATE_UNTIL)))
+
+
 # --- scenario simulation -----------------------------------------------------------
 
 def _inputs(spark, d):
@@ -267,6 +285,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "season_trend": q_season_trend,
     "streak_state": q_streak_state,
     "elite_flag": q_elite_flag,
+    "history_segments": q_history_segments,
+    "segment_rules": q_segment_rules,
+    "decay_from_state": q_decay_from_state,
     "daily_factors": q_daily_factors,
     "scenario_draws": q_scenario_draws,
     "scenario_summary": q_scenario_summary,
