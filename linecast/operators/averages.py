@@ -104,5 +104,9 @@ def batch_points_predictions(history: DataFrame, run_ts: str | None = None) -> D
 def locks_final(stats: DataFrame, props_with_id: DataFrame, run_ts: str | None = None,
                 min_deviation: float = LOCK_MIN_DEVIATION) -> DataFrame:
     """Q2 without the sink: averages -> recommendation -> lock filter -> layout."""
-    avgs = stat_averages(line_history(stats, props_with_id))
+    return locks_of(stat_averages(line_history(stats, props_with_id)), run_ts, min_deviation)
+
+
+def locks_of(avgs: DataFrame, run_ts: str | None = None, min_deviation: float = LOCK_MIN_DEVIATION) -> DataFrame:
+    """The rows of Q2 from the lines' means."""
     return shape_locks(locks(with_mean_recommendation(avgs), min_deviation), run_ts)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -42,3 +42,29 @@ def locks_stage_counts(props: DataFrame, players: DataFrame, props_with_id: Data
     ])).alias("_s")).select("_s.*")
     head = stage_counts({"props": props, "players": players, "props_with_id": props_with_id, "stats": stats})
     return head.unionByName(tail)
+
+
+class StageCounts:
+    """AGG15 inside a job: rows are counted where they pass, while the job's own
+    action runs, so the counts cost no job of their own.
+
+    ``watch(name, rows)`` returns the rows with an observation; after the action
+    ``read()`` gives the counts. A stage that the action never computed is left
+    out (its observation has not ended)."""
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def watch(self, name: str, rows: DataFrame) -> DataFrame:
+        if name in self._seen:
+            raise ValueError(f"stage {name} is watched already")
+        self._seen[name] = Observation(name)
+        return rows.observe(self._seen[name], F.count(F.lit(1)).alias("rows"))
+
+    def read(self) -> dict[str, int]:
+        return {name: o.get["rows"] for name, o in self._seen.items()}
+
+
+def unwatched(name: str, rows: DataFrame) -> DataFrame:
+    """The stand-in for :meth:`StageCounts.watch` of a job that counts nothing."""
+    return rows

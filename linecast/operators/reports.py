@@ -75,6 +75,23 @@ def report_recent(predictions: DataFrame, players: DataFrame, limit: int = RECEN
     return ordered.limit(limit).drop("_dev_raw", "_created_raw")
 
 
+def run_metrics_from_index(runs: DataFrame, draws_per_prediction: int = DRAWS_PER_PREDICTION) -> DataFrame:
+    """Q5 from the run index (one row per run, written with its rows): the page
+    polls it, so its cost follows the runs, not the predictions. A run's rows
+    share their creation time or lie within one run's duration."""
+    latest = runs.select(F.max("last_created") - F.expr("INTERVAL 5 MINUTES")).scalar()
+    m = runs.where(F.col("last_created") >= latest).agg(
+        F.sum("rows").alias("total_predictions"), F.min("first_created").alias("_start"), F.max("last_created").alias("_end"),
+        F.max("monte_carlo").alias("_mc"), F.max("total_time").alias("_total"),
+    ).where(F.col("total_predictions") > 0)
+    return _present_metrics(m, draws_per_prediction)
+
+
+def prediction_count_from_index(runs: DataFrame) -> DataFrame:
+    """Q7 from the run index."""
+    return runs.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("total_predictions"))
+
+
 def run_metrics(predictions: DataFrame, draws_per_prediction: int = DRAWS_PER_PREDICTION) -> DataFrame:
     """Q5: metrics of the latest run: rows created within five minutes of the
     newest row (uncorrelated scalar subquery), no row when the table is empty."""
@@ -87,6 +104,10 @@ def run_metrics(predictions: DataFrame, draws_per_prediction: int = DRAWS_PER_PR
         F.max("processing_time_seconds").alias("_mc"),
         F.max("total_processing_time_seconds").alias("_total"),
     ).filter(F.col("total_predictions") > 0)
+    return _present_metrics(m, draws_per_prediction)
+
+
+def _present_metrics(m: DataFrame, draws_per_prediction: int) -> DataFrame:
     total = F.coalesce(F.col("_total"), F.lit(0.0))
     sims = F.col("total_predictions") * F.lit(draws_per_prediction)
     return m.select(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from linecast.functions.recommend import DRAWS_PER_PREDICTION
 from linecast.operators import averages, history, resolve, scenario
+from linecast.operators.counts import StageCounts, unwatched
 from linecast.sources import fixtures as fx
 from linecast.sources import jdbc
 from linecast.sources.props import read_props
@@ -60,9 +61,15 @@ def batch_points_job(inputs: Inputs, run_ts: str | None = None) -> DataFrame:
     return averages.batch_points_predictions(hist, run_ts)
 
 
-def locks_job(inputs: Inputs, run_ts: str | None = None) -> DataFrame:
-    """Q2 (locks job) without the sink."""
-    return averages.locks_final(inputs.stats, resolved(inputs), run_ts)
+def locks_job(inputs: Inputs, run_ts: str | None = None, stages: StageCounts | None = None) -> DataFrame:
+    """Q2 (locks job) without the sink. ``stages`` counts the rows of its seven
+    stages while it runs (AGG15)."""
+    watch = stages.watch if stages else unwatched
+    players = watch("players", resolve.dedup_players(inputs.players))
+    with_id = watch("props_with_id", resolve.resolve_players(watch("props", inputs.props), players))
+    history = watch("history", averages.line_history(watch("stats", inputs.stats), with_id))
+    means = watch("averages", averages.stat_averages(history))
+    return watch("locks", averages.locks_of(means, run_ts))
 
 
 def scenario_job(inputs: Inputs, run_ts: str | None = None, seed: int | str | None = None,

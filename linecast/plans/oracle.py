@@ -519,6 +519,16 @@ WHERE total_predictions > 0""")
 
 Q["prediction_count"] = with_views(PREDICTIONS + "SELECT count(*) AS total_predictions FROM predictions")
 
+Q["run_metrics_index"] = Q["run_metrics"]
+Q["prediction_count_index"] = Q["prediction_count"]
+
+Q["locks_null_safe"] = with_views(PREDICTIONS + f"""
+, keyed AS (SELECT personid, stat_type, CASE WHEN stat_type <> 'points' THEN line END AS line, game_date, created_at FROM predictions)
+SELECT DISTINCT k.personid, k.stat_type, {r6('k.line')} AS line, CAST(k.game_date AS VARCHAR) AS game_date
+FROM keyed k WHERE NOT EXISTS (
+  SELECT 1 FROM keyed s WHERE s.created_at < TIMESTAMP '2024-01-02 00:05:00' AND s.personid = k.personid
+    AND s.stat_type IS NOT DISTINCT FROM k.stat_type AND s.line IS NOT DISTINCT FROM k.line AND s.game_date = k.game_date)""")
+
 _TRIGGERS = """
 , triggers AS (
   SELECT ts AS kafka_timestamp,

@@ -19,7 +19,9 @@ from linecast.functions.fmt import round_doubles
 from linecast.session import configure
 from linecast.functions.names import with_name_parts
 from linecast.operators import averages, counts, history, history_state, reports, resolve, scenario, segments
+from linecast.schemas import PREDICTION_KEY
 from linecast.sinks import append
+from linecast.sinks.ledger import run_index
 from linecast.sources import triggers as trg
 from linecast.sources import fixtures as fx
 from linecast.sources.props import parse_props, props_as_ndjson
@@ -246,6 +248,22 @@ def q_run_metrics(spark, d):
     return reports.run_metrics(fx.predictions(spark, d))
 
 
+def q_run_metrics_index(spark, d):
+    return reports.run_metrics_from_index(run_index(fx.predictions(spark, d)))
+
+
+def q_prediction_count_index(spark, d):
+    return reports.prediction_count_from_index(run_index(fx.predictions(spark, d)))
+
+
+def q_locks_null_safe(spark, d):
+    # The whole table appended to what was stored of it before a time, with null
+    # key parts on both sides (lines of points players count as unknown).
+    rows = fx.predictions(spark, d).withColumn("line", F.when(F.col("stat_type") != "points", F.col("line")))
+    stored = rows.where(F.col("created_at") < F.lit(STORED_BEFORE).cast("timestamp"))
+    return append.new_rows(rows, stored, null_safe=True).select(*PREDICTION_KEY)
+
+
 def q_prediction_count(spark, d):
     return reports.prediction_count(fx.predictions(spark, d))
 
@@ -300,6 +318,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_recent": q_report_recent,
     "run_metrics": q_run_metrics,
     "prediction_count": q_prediction_count,
+    "run_metrics_index": q_run_metrics_index,
+    "prediction_count_index": q_prediction_count_index,
+    "locks_null_safe": q_locks_null_safe,
     "parse_triggers": q_parse_triggers,
     "route_triggers": q_route_triggers,
     "trigger_records": q_trigger_records,

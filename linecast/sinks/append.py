@@ -25,9 +25,17 @@ def dedup_by_key(df: DataFrame, key: list[str] = PREDICTION_KEY) -> DataFrame:
     ).select(*df.columns)
 
 
-def new_rows(batch: DataFrame, existing: DataFrame, key: list[str] = PREDICTION_KEY) -> DataFrame:
+def new_rows(batch: DataFrame, existing: DataFrame, key: list[str] = PREDICTION_KEY, null_safe: bool = False) -> DataFrame:
     """JN5 + DD3 + DD2: rows of ``batch`` whose key is absent from ``existing``.
-    A null key part never matches (it is kept, as in the reference)."""
+    A null key part never matches (it is kept, as in the reference), unless
+    ``null_safe``: then null parts are equal, and a replay adds no row at all."""
+    if null_safe:
+        known = existing.select(*[F.col(k).alias(f"_{k}") for k in key])
+        if "game_date" in key:
+            days = batch.select(F.col("game_date").alias("_d")).distinct()
+            known = known.join(days, F.col("_game_date").eqNullSafe(F.col("_d")), "left_semi")
+        match = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
+        return dedup_by_key(batch.join(known.distinct(), match, "left_anti"), key)
     if "game_date" in key:
         # Only stored rows of the batch's dates can match: with a table
         # partitioned by game_date this semi-join lets dynamic partition

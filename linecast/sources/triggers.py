@@ -11,6 +11,8 @@ from linecast.schemas import TRIGGER
 # Fixed value that must equal the reference's: the job type that runs the analysis.
 ANALYSIS_JOB = "prop_bet_analysis"
 TOPIC = "spark-jobs"
+#: Marks of consumed triggers: text that sorts by time.
+MARK_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def parse_triggers(messages: DataFrame) -> DataFrame:
@@ -32,14 +34,33 @@ def count_triggers(parsed: DataFrame, job_type: str = ANALYSIS_JOB) -> dict:
     how many are rejected (unknown, missing or broken job type), and the time
     of the newest accepted one (its own timestamp, else the message's)."""
     accepted = F.coalesce(F.col("job_type") == job_type, F.lit(False))
-    when = F.coalesce(F.try_to_timestamp("timestamp"), F.col("kafka_timestamp"))
     row = parsed.agg(
         F.count_if(accepted).alias("accepted"), F.count_if(~accepted).alias("rejected"),
-        F.date_format(F.to_utc_timestamp(F.max(F.when(accepted, when)), F.current_timezone()), "yyyy-MM-dd HH:mm:ss").alias("newest"),
+        F.date_format(F.to_utc_timestamp(F.max(F.when(accepted, _trigger_time())), F.current_timezone()), "yyyy-MM-dd HH:mm:ss").alias("newest"),
     ).first()
     return row.asDict()
 
 
+def _mark() -> F.Column:
+    return F.date_format(F.to_utc_timestamp(_trigger_time(), F.current_timezone()), MARK_FORMAT)
+
+
+def newest_mark(parsed: DataFrame, job_type: str = ANALYSIS_JOB) -> str | None:
+    """The mark of the newest trigger that starts the analysis: how far a run
+    that takes all of them has consumed."""
+    return route_triggers(parsed, job_type).agg(F.max(_mark())).first()[0]
+
+
+def _trigger_time() -> F.Column:
+    """A trigger's own timestamp, else its message's."""
+    return F.coalesce(F.try_to_timestamp("timestamp"), F.col("kafka_timestamp"))
+
+
+def after_mark(parsed: DataFrame, mark: str) -> DataFrame:
+    """The triggers after a mark; one that shares its microsecond counts as consumed."""
+    return parsed.where(_mark() > mark)
+
+
 def trigger_record(job_type, ts) -> F.Column:
     """SNK4: the published JSON record {"job_type", "timestamp" as UTC ISO text}
     (converted explicitly, whatever the session's time zone)."""

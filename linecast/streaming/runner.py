@@ -19,11 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from linecast.operators.counts import StageCounts
 from linecast.plans.jobs import with_timings
 from linecast.schemas import PREDICTIONS
 from linecast.sinks.append import append_new, parquet_writer, read_parquet_target
+from linecast.sinks.ledger import Ledger
 from linecast.sources.jdbc import append_table, read_table
-from linecast.sources.triggers import count_triggers, parse_triggers
+from linecast.sources.triggers import after_mark, count_triggers, newest_mark, parse_triggers
 
 Analysis = Callable[[str, str], DataFrame]   # run timestamp, run id -> predictions (table layout)
 
@@ -58,18 +60,39 @@ def conform(predictions: DataFrame, run_ts: str) -> DataFrame:
     return predictions.select(*cols)
 
 
-def run_once(spark: SparkSession, analysis: Analysis, target: Target | str, run_ts: str | None = None, run_id: str | None = None) -> dict:
-    """One analysis run appended idempotently to the target (a path: parquet)."""
+def run_once(spark: SparkSession, analysis: Analysis, target: Target | Ledger | str, run_ts: str | None = None, run_id: str | None = None, reaches: str | None = None, stages: StageCounts | None = None) -> dict:
+    """One analysis run appended idempotently to the target (a path: parquet).
+
+    With a :class:`Ledger` the run is committed once: a replay of a committed run
+    does not start the analysis. ``reaches``: how far into the messages it is
+    committed with. ``stages``: row counts observed inside the run (AGG15)."""
     start = time.time()
     target = parquet_target(spark, target) if isinstance(target, str) else target
     ts = run_ts or time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(start))
     run_id = run_id or f"run-{ts}"
+    counts = stages.read if stages else dict
+    if isinstance(target, Ledger):
+        timed = {"simulation_s": None, "total_s": None}
+        caches = []
+
+        def make() -> DataFrame:
+            preds, cached, timed["simulation_s"], timed["total_s"] = with_timings(analysis(ts, run_id), start)
+            caches.append(cached)
+            return conform(preds, ts)
+
+        try:
+            row = target.append(run_id, ts, make, reaches, counts)
+        finally:
+            for cached in caches:
+                cached.unpersist()
+        written = 0 if row["replayed"] else row["rows"]
+        return {"run_ts": ts, "run_id": run_id, "written": written, "replayed": row["replayed"], "counts": row["counts"] or {}, **timed}
     preds, cached, sim_s, total_s = with_timings(analysis(ts, run_id), start)
     try:
         written = append_new(conform(preds, ts), target.read(), target.write)
     finally:
         cached.unpersist()
-    return {"run_ts": ts, "run_id": run_id, "written": written, "simulation_s": sim_s, "total_s": total_s}
+    return {"run_ts": ts, "run_id": run_id, "written": written, "simulation_s": sim_s, "total_s": total_s, "counts": counts()}
 
 
 def _run_of(counted: dict, run_id: str) -> dict:
@@ -77,7 +100,7 @@ def _run_of(counted: dict, run_id: str) -> dict:
     return {"run_ts": counted["newest"], "run_id": f"{run_id}-{counted['newest']}"}
 
 
-def batch_handler(spark: SparkSession, analysis: Analysis, target: Target | str, log: list | None = None):
+def batch_handler(spark: SparkSession, analysis: Analysis, target: Target | Ledger | str, log: list | None = None):
     """``foreachBatch`` function: route the batch's triggers and run once."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -91,7 +114,7 @@ def batch_handler(spark: SparkSession, analysis: Analysis, target: Target | str,
     return handle
 
 
-def start(spark: SparkSession, messages: DataFrame, analysis: Analysis, target: Target | str,
+def start(spark: SparkSession, messages: DataFrame, analysis: Analysis, target: Target | Ledger | str,
           checkpoint_location: str, processing_time: str | None = "60 seconds",
           available_now: bool = False, log: list | None = None) -> StreamingQuery:
     """Start the trigger stream; the caller owns the returned query handle
@@ -105,9 +128,23 @@ def start(spark: SparkSession, messages: DataFrame, analysis: Analysis, target:
     return writer.start()
 
 
-def run_batch(spark: SparkSession, messages: DataFrame, analysis: Analysis, target: Target | str) -> dict | None:
-    """Batch job: if the message table holds any analysis trigger, run once."""
-    counted = count_triggers(parse_triggers(messages))
+def run_batch(spark: SparkSession, messages: DataFrame, analysis: Analysis, target: Target | Ledger | str) -> dict | None:
+    """Batch job: if the message table holds any analysis trigger, run once.
+
+    With a :class:`Ledger` only messages after the mark committed with the last
+    run count (the time of the newest trigger it took), so a second call without
+    new messages does nothing."""
+    parsed = parse_triggers(messages)
+    reaches = None
+    if isinstance(target, Ledger):
+        mark = target.reaches()
+        parsed = after_mark(parsed, mark) if mark is not None else parsed
+        reaches = newest_mark(parsed)
+    counted = count_triggers(parsed)
     if not counted["accepted"]:
         return None
-    return run_once(spark, analysis, target, **_run_of(counted, "batch"))
+    run = _run_of(counted, "batch")
+    if reaches is not None:
+        # Triggers may share a second: a later one is a run of its own.
+        run["run_id"] = f"batch-{reaches}"
+    return run_once(spark, analysis, target, **run, reaches=reaches)

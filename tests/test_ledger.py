@@ -1,0 +1,201 @@
+"""Commit ledger, run index, consumed marks and observed stage counts."""
+
+import datetime as dt
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from linecast.operators import reports
+from linecast.operators.counts import StageCounts
+from linecast.plans import jobs, queries as Q
+from linecast.schemas import PREDICTIONS
+from linecast.sinks.ledger import CommitConflict, Ledger, run_index
+from linecast.streaming.runner import batch_handler, conform, run_batch, run_once
+from tests.conftest import SF_SMALL
+
+DAY = dt.date(2024, 1, 2)
+
+
+def rows(spark, *keys, ts="2024-01-02 10:00:00"):
+    """Predictions with these (personid, stat) keys."""
+    return conform(spark.createDataFrame([(p, s, 1.5, DAY, 2.0) for p, s in keys],
+                                         "personid long, stat_type string, line double, game_date date, predicted_value double"), ts)
+
+
+def keys(ledger):
+    return sorted((r.personid, str(r.stat_type)) for r in ledger.read().collect())
+
+
+def messages(spark, *lines):
+    return spark.createDataFrame([(x,) for x in lines], "v string").select(
+        F.current_timestamp().alias("timestamp"), F.col("v").cast("binary").alias("value"))
+
+
+def trigger(at):
+    return f'{{"job_type": "prop_bet_analysis", "timestamp": "{at}"}}'
+
+
+def test_a_committed_run_is_not_made_again(spark, tmp_dir):
+    ledger, made = Ledger(spark, f"{tmp_dir}/p"), []
+
+    def analysis(ts, run_id):
+        made.append(run_id)
+        return rows(spark, (1, "points"), (2, None), ts=ts)
+
+    assert ledger.read().count() == 0 and ledger.version() == 0 and ledger.reaches() is None
+    first = run_once(spark, analysis, ledger, "2024-01-02 10:00:00", "a")
+    again = run_once(spark, analysis, ledger, "2024-01-02 10:00:00", "a")
+    assert (first["written"], first["replayed"], again["written"], again["replayed"], made) == (2, False, 0, True, ["a"])
+    # Another run of the same keys, null parts included, adds nothing.
+    assert run_once(spark, analysis, ledger, "2024-01-02 11:00:00", "b")["written"] == 0
+    assert keys(ledger) == [(1, "points"), (2, "None")] and ledger.version() == 2
+
+
+def test_a_failure_before_the_commit_leaves_no_row(spark, tmp_dir, monkeypatch):
+    ledger = Ledger(spark, f"{tmp_dir}/p")
+    ledger.append("a", "t", lambda: rows(spark, (1, "points")))
+
+    def dies(self, version, entry):
+        raise RuntimeError("power cut")
+
+    with monkeypatch.context() as m:
+        m.setattr(Ledger, "commit", dies)
+        with pytest.raises(RuntimeError, match="power cut"):
+            ledger.append("b", "t", lambda: rows(spark, (2, "points")))
+    assert keys(ledger) == [(1, "points")] and ledger.committed("b") is None
+    # The retry writes anew; the first attempt's files stay unread.
+    assert ledger.append("b", "t", lambda: rows(spark, (2, "points")))["rows"] == 1
+    assert keys(ledger) == [(1, "points"), (2, "points")]
+
+
+def test_a_failing_analysis_leaves_the_table_as_it_was(spark, tmp_dir):
+    ledger = Ledger(spark, f"{tmp_dir}/p")
+
+    def fails():
+        raise ValueError("no data")
+
+    with pytest.raises(ValueError):
+        ledger.append("a", "t", fails)
+    assert ledger.version() == 0 and ledger.append("a", "t", lambda: rows(spark, (1, "x")))["rows"] == 1
+
+
+def test_runs_of_one_process_do_not_interleave(spark, tmp_dir):
+    ledger, errors = Ledger(spark, f"{tmp_dir}/p"), []
+
+    def run(n):
+        try:
+            # Every run offers the shared key and one of its own.
+            Ledger(spark, f"{tmp_dir}/p").append(f"run-{n}", "t", lambda: rows(spark, (0, "points"), (n, "points")))
+        except Exception as exc:  # noqa: BLE001
+            errors.append(exc)
+
+    threads = [threading.Thread(target=run, args=(n,)) for n in range(1, 5)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert not errors and keys(ledger) == [(n, "points") for n in range(5)]
+    assert sorted(r.version for r in ledger.runs().collect()) == [1, 2, 3, 4] and ledger.runs().agg(F.sum("rows")).first()[0] == 5
+
+
+def test_a_run_of_another_process_is_seen_before_the_commit(spark, tmp_dir, monkeypatch):
+    """The version it read is taken: the rows are compared again with the new ones."""
+    ledger, stage, other = Ledger(spark, f"{tmp_dir}/p"), Ledger.stage, []
+
+    def slow(self, fresh, token):
+        stage(self, fresh, token)
+        if not other:
+            other.append(1)
+            stage(self, rows(spark, (1, "points")), "r-other")
+            Ledger.commit(self, self.version(), {"run_id": "other", "token": "r-other", "rows": 1})
+
+    monkeypatch.setattr(Ledger, "stage", slow)
+    assert ledger.append("mine", "t", lambda: rows(spark, (1, "points"), (2, "points")))["rows"] == 1
+    assert keys(ledger) == [(1, "points"), (2, "points")] and ledger.version() == 2
+    with pytest.raises(CommitConflict):
+        ledger.commit(1, {"run_id": "late", "token": "r-late"})
+
+
+def test_stream_replay_after_the_commit(spark, tmp_dir):
+    ledger, calls = Ledger(spark, f"{tmp_dir}/p"), []
+    inputs = jobs.fixture_inputs(spark, SF_SMALL)
+
+    def analysis(ts, run_id):
+        calls.append(run_id)
+        return jobs.locks_job(inputs, run_ts=ts)
+
+    handle = batch_handler(spark, analysis, ledger, log := [])
+    batch = messages(spark, trigger("2024-01-02T23:59:59Z"), "{broken")
+    handle(batch, 7)
+    handle(batch, 7)
+    assert len(calls) == 1 and log[0]["written"] > 0 and log[1]["written"] == 0 and log[1]["replayed"] and log[0]["rejected"] == 1
+
+
+def test_batch_job_takes_only_new_messages(spark, tmp_dir):
+    ledger, calls = Ledger(spark, f"{tmp_dir}/p"), []
+
+    def analysis(ts, run_id):
+        calls.append(ts)
+        return rows(spark, (len(calls), "points"), ts=ts)
+
+    sent = [trigger("2024-01-02T10:00:00Z"), trigger("2024-01-02T10:00:01.250Z"), '{"job_type": "other", "timestamp": "2025-01-01T00:00:00Z"}']
+    assert run_batch(spark, messages(spark, *sent), analysis, ledger)["written"] == 1
+    assert run_batch(spark, messages(spark, *sent), analysis, ledger) is None and len(calls) == 1
+    assert ledger.reaches() == "2024-01-02 10:00:01.250000"
+    # A later trigger in the same second is new.
+    assert run_batch(spark, messages(spark, *sent, trigger("2024-01-02T10:00:01.750Z")), analysis, ledger)["written"] == 1
+    assert calls == ["2024-01-02 10:00:01", "2024-01-02 10:00:01"] and ledger.version() == 2
+
+
+def test_reports_from_the_index_read_no_prediction_file(spark, tmp_dir):
+    ledger = Ledger(spark, f"{tmp_dir}/p")
+    for n, at in enumerate(["2024-01-02 09:00:00", "2024-01-02 10:00:00", "2024-01-02 10:03:00"]):
+        ledger.append(f"run-{n}", at, lambda n=n, at=at: rows(spark, *[(10 * n + k, "points") for k in range(n + 1)], ts=at).withColumn(
+            "processing_time_seconds", F.lit(1.5 + n)).withColumn("total_processing_time_seconds", F.lit(4.0 + n)))
+    stored, runs = ledger.read(), ledger.runs()
+    assert reports.run_metrics_from_index(runs).collect() == reports.run_metrics(stored).collect()
+    assert reports.run_metrics_from_index(runs).first()["total_predictions"] == 5
+    assert reports.prediction_count_from_index(runs).first()[0] == reports.prediction_count(stored).first()[0] == 6
+    for df in (reports.run_metrics_from_index(runs), reports.prediction_count_from_index(runs)):
+        assert not [f for f in df.inputFiles() if "/rows/" in f]
+        assert "/rows" not in df._jdf.queryExecution().toString()
+    empty = Ledger(spark, f"{tmp_dir}/none").runs()
+    assert reports.run_metrics_from_index(empty).collect() == [] and reports.prediction_count_from_index(empty).first()[0] == 0
+
+
+def test_index_of_a_table_equals_the_table(spark):
+    from linecast.sources import fixtures as fx
+    p = fx.predictions(spark, SF_SMALL)
+    assert run_index(p).agg(F.sum("rows")).first()[0] == p.count()
+
+
+def test_stage_counts_come_with_the_run(spark, tmp_dir):
+    inputs = jobs.fixture_inputs(spark, SF_SMALL)
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+
+    def run(name, stages):
+        sc.setJobGroup(name, name)
+        try:
+            done = run_once(spark, lambda ts, run_id: jobs.locks_job(inputs, run_ts=ts, stages=stages), f"{tmp_dir}/{name}", "2024-01-02 00:00:00", name, stages=stages)
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        return done, len(tracker.getJobIdsForGroup(name))
+
+    run("warm", None)
+    plain, few = run("plain", None)
+    counted, many = run("counted", StageCounts())
+    assert plain["counts"] == {} and counted["written"] == plain["written"] > 0
+    want = {r["stage"]: r["row_count"] for r in Q.q_stage_counts(spark, SF_SMALL).collect()}
+    assert counted["counts"] == want and len(want) == 7
+    assert many <= few
+    ledger = Ledger(spark, f"{tmp_dir}/ledger")
+    stages = StageCounts()
+    run_once(spark, lambda ts, run_id: jobs.locks_job(inputs, run_ts=ts, stages=stages), ledger, "2024-01-02 00:00:00", "x", stages=stages)
+    assert ledger.committed("x")["counts"] == want
+    with pytest.raises(ValueError):
+        stages.watch("props", inputs.props)
+
+
+def test_schema_of_the_table(spark, tmp_dir):
+    ledger = Ledger(spark, f"{tmp_dir}/p")
+    ledger.append("a", "t", lambda: rows(spark, (1, "points")))
+    assert ledger.read().dtypes == [(f.name, f.dataType.simpleString()) for f in PREDICTIONS.fields]
