@@ -38,6 +38,7 @@ import random
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -45,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linecast.llm.common import ENTRY_BYTES, TABLE_BYTES, materialize, own_cache, slices, table_bytes
+from linecast.llm.common import ENTRY_BYTES, materialize, own_cache, slices, table_bytes
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -54,9 +55,12 @@ POPULATION = 6
 GENERATIONS = 24
 #: From this epoch on an island passes on only its ``POOREST`` bins, so that islands end in one.
 PATIENCE, POOREST = 4, 2
+#: Memory that both generations of the word tables may take in a Python worker.
+WORD_BYTES = 64 << 20
 #: A bin this full is final after an epoch.
 WELL_FILLED = 0.999
 
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -82,27 +86,44 @@ class WordEncoder:
         self.chars = _byte_characters()
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
         self.held = 0
         self.special = re.compile(b"|".join(re.escape(t.content.encode()) for t in self.whole.get_added_tokens_decoder().values()) or b"(?!)")
 
     def forget(self) -> None:
         """Drop the tables of word and pre-token ids."""
-        self.words.clear()
-        self.parts.clear()
+        for table in (self.words, self.parts, self.old_words, self.old_parts):
+            table.clear()
+        self.held = 0
+
+    def _age(self) -> None:
+        """Start new tables; the present ones stay as the old ones, from which
+        words in use move over, so only those not met for a while are lost."""
+        self.old_words, self.words = self.words, {}
+        self.old_parts, self.parts = self.parts, {}
         self.held = 0
 
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            mapped = part.encode("utf-8").decode("latin-1").translate(self.chars)
-            ids = self.parts[part] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-            self.held += table_bytes((part, ids), ENTRY_BYTES // 2)
+            ids = self.old_parts.pop(part, None)
+            if ids is None:
+                mapped = part.encode("utf-8").decode("latin-1").translate(self.chars)
+                ids = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+            self.parts[part] = ids
+            self.held += ENTRY_BYTES + 2 * len(part)
         return ids
 
     def _word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "surrogatepass")
         if word.isascii() and not self.special.search(word):
-            return b"".join(map(self._part, self.pre.findall(text.lower())))
+            text = word.decode("ascii").lower()
+            letters = text.rstrip(_MARKS)
+            if letters.isalpha():
+                # Letters, then a run of marks without an apostrophe: two pre-tokens at most.
+                return self._part(letters) + self._part(text[len(letters):]) if len(letters) < len(text) else self._part(letters)
+            return b"".join(map(self._part, self.pre.findall(text)))
+        text = word.decode("utf-8", "surrogatepass")
         low = unicodedata.normalize("NFC", text)
         if self.special.search(word) or not low.replace("İ", "").isprintable() or any(c in low for c in "İΣ"):
             # Special strings, unusual characters: the tokenizer as a whole.
@@ -110,13 +131,14 @@ class WordEncoder:
         return b"".join(map(self._part, self.pre.findall(low.lower())))
 
     def encode(self, text: str) -> bytes:
-        known = self.words
-        if self.held > TABLE_BYTES:
-            self.forget()
+        if 2 * self.held > WORD_BYTES:
+            self._age()
+        known, old = self.words, self.old_words
         found = text.encode("utf-8").split()
-        for w in set(found).difference(known):
-            ids = known[w] = self._word(w)
-            self.held += table_bytes((w, ids), ENTRY_BYTES // 2)
+        new = set(found).difference(known)
+        for w in new:
+            known[w] = old.pop(w, None) or self._word(w)
+        self.held += table_bytes(new)
         return b"".join(map(known.__getitem__, found))
 
 

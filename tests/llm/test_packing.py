@@ -111,3 +111,14 @@ def test_lengths_that_never_fill_a_bin_end_in_one_island(spark):
     assert len({r["sequence_id"] for r in packed}) == 600
     small = spark.createDataFrame([(i, 0, 0, 1 + i % 3, i) for i in range(500)], "doc_id long, piece int, start long, length long, ids_crc32 long")
     assert len({r["sequence_id"] for r in K.pack(small, capacity=100, island_size=16).collect()}) == 10
+
+
+def test_words_with_marks_and_aged_tables(tokenizer, monkeypatch):
+    """Letters with marks around them, by the short way and by the tokenizer; tables that age often."""
+    monkeypatch.setattr(K, "WORD_BYTES", 4_000)
+    enc = K.WordEncoder(PATH)
+    words = ["Hello,", "don't", "we'll.", "(yes)", "end...", "a'b", "x\\y|", "it's", "WORD!?", "3rd", "co-op", "...", "a_b", "naïve,", "ß.", "İx", "<unk>", "x<unk>", "rock'n'roll", "s'", "'s"]
+    for n in range(30):
+        text = " ".join(words[n % 7:] + [f"{w}{chr(97 + n % 26)}," for w in words])
+        assert enc.encode(text) == expected(tokenizer, text)
+    assert len(enc.words) + len(enc.old_words) < 200
