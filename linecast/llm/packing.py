@@ -104,13 +104,25 @@ class WordEncoder:
         self.old_parts, self.parts = self.parts, {}
         self.held = 0
 
+    def _ids(self, part: str) -> bytes:
+        mapped = part.encode("utf-8").decode("latin-1").translate(self.chars)
+        return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
+    def _letters(self, letters: str) -> bytes:
+        """Ids of lower-case letters, which are a word of their own in the table."""
+        word = letters.encode("ascii")
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self.words[word] = self.old_words.pop(word, None) or self._ids(letters)
+            self.held += ENTRY_BYTES + 2 * len(word)
+        return ids
+
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
             ids = self.old_parts.pop(part, None)
             if ids is None:
-                mapped = part.encode("utf-8").decode("latin-1").translate(self.chars)
-                ids = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+                ids = self._ids(part)
             self.parts[part] = ids
             self.held += ENTRY_BYTES + 2 * len(part)
         return ids
@@ -121,7 +133,9 @@ class WordEncoder:
             letters = text.rstrip(_MARKS)
             if letters.isalpha():
                 # Letters, then a run of marks without an apostrophe: two pre-tokens at most.
-                return self._part(letters) + self._part(text[len(letters):]) if len(letters) < len(text) else self._part(letters)
+                if len(letters) < len(text):
+                    return self._letters(letters) + self._part(text[len(letters):])
+                return self._letters(letters) if letters.encode() != word else self._ids(letters)
             return b"".join(map(self._part, self.pre.findall(text)))
         text = word.decode("utf-8", "surrogatepass")
         low = unicodedata.normalize("NFC", text)
