@@ -56,8 +56,8 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Learned models and token packing are not expressible in SQL; tests/llm holds
-#: run() against a brute-force version.
+#: Learned models and token packing are not expressible in SQL; tests/llm compares
+#: the stages with plain versions.
 ORACLE_SQL = None
 
 
