@@ -18,7 +18,7 @@ from linecast.operators import averages, history, resolve, scenario
 from linecast.operators.counts import StageCounts, unwatched
 from linecast.sources import fixtures as fx
 from linecast.sources import jdbc
-from linecast.sources.props import read_props
+from linecast.sources.props import split_props
 
 
 @dataclass
@@ -27,6 +27,7 @@ class Inputs:
     players: DataFrame
     stats: DataFrame
     games: DataFrame
+    broken: DataFrame | None = None   # lines that did not parse: file, text
 
 
 def fixture_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -37,7 +38,8 @@ def fixture_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 def production_inputs(spark: SparkSession, props_path: str, url: str, properties: dict[str, str],
                       partitions: int = 4) -> Inputs:
     """Lines from NDJSON; players, box scores and games over JDBC, each split
-    into ``partitions`` hash parts (plus a part for null ids)."""
+    into ``partitions`` hash parts (plus a part for null ids). Lines that do not
+    parse are set aside in ``broken``."""
     players = jdbc.read_table(spark, url, "Players", properties, jdbc.hash_predicates("personid", partitions),
                               ["personid", "firstname", "lastname"])
     stats = jdbc.read_table(spark, url, "PlayerStatistics", properties, jdbc.hash_predicates("id", partitions))
@@ -48,7 +50,8 @@ def production_inputs(spark: SparkSession, props_path: str, url: str, properties
     )
     games = jdbc.read_table(spark, url, "Games", properties, jdbc.hash_predicates("gameid", partitions),
                             ["gameid", "gamedate"])
-    return Inputs(read_props(spark, props_path), players, stats, games)
+    lines, broken = split_props(spark, props_path)
+    return Inputs(lines, players, stats, games, broken)
 
 
 def resolved(inputs: Inputs) -> DataFrame:

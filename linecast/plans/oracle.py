@@ -104,6 +104,10 @@ Q: dict[str, str] = {}
 Q["scan_props"] = with_views(
     f"SELECT player_name, stat, {r6('line')} AS line, game_date, team FROM props")
 
+Q["props_quarantine"] = with_views(
+    f"SELECT player_name, stat, {r6('line')} AS line, game_date, team, CAST(NULL AS VARCHAR) AS broken_name FROM props "
+    "UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, player_name FROM props")
+
 Q["split_names"] = with_views(
     f"SELECT player_name, stat, {r6('line')} AS line, game_date, team, firstname, lastname FROM props_named")
 
@@ -130,6 +134,7 @@ Q["stat_value"] = with_views(
 Q["stat_averages"] = with_views(
     f"SELECT personid, player_name, stat, {r6('line')} AS line, team, {r6('predicted_value')} AS predicted_value FROM averages")
 
+Q["stat_averages_split"] = Q["stat_averages"]
 Q["stat_averages_union"] = Q["stat_averages"]
 
 Q["deviation"] = with_views(f"""

@@ -9,6 +9,7 @@ values exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linecast.functions.fmt import round_doubles
-from linecast.session import configure
+from linecast.session import configure, ensure_checkpoint_dir
 from linecast.functions.names import with_name_parts
-from linecast.operators import averages, counts, history, history_state, reports, resolve, scenario, segments
+from linecast.operators import averages, counts, history, history_state, reports, resolve, scenario, segments, skew
 from linecast.schemas import PREDICTION_KEY
 from linecast.sinks import append
 from linecast.sinks.ledger import run_index
 from linecast.sources import triggers as trg
 from linecast.sources import fixtures as fx
-from linecast.sources.props import parse_props, props_as_ndjson
+from linecast.sources.props import parse_props, props_as_ndjson, split_props
 
 # Run time used by the registered queries (reruns give identical rows).
 RUN_TS = "2024-01-02 00:00:00"
@@ -63,6 +64,19 @@ def q_scan_props(spark, d):
     return parse_props(props_as_ndjson(fx.props(spark, d)))
 
 
+def q_props_quarantine(spark, d):
+    """Every offered line as NDJSON in files of the shared folder, and once more
+    cut in the middle: the scan takes the first and sets the second aside."""
+    text = props_as_ndjson(fx.props(spark, d))
+    cut = text.select(F.expr("left(value, length(value) - 12)").alias("value"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/props-{uuid.uuid4().hex}"
+    text.unionByName(cut).write.text(path)
+    lines, broken = split_props(spark, path)
+    cols = ["player_name", "stat", "line", "game_date", "team"]
+    aside = broken.select(*[F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in cols], F.regexp_extract("text", '"player_name":"([^"]*)"', 1).alias("broken_name"))
+    return lines.select(*cols, F.lit(None).cast("string").alias("broken_name")).unionByName(aside)
+
+
 def q_split_names(spark, d):
     return with_name_parts(fx.props(spark, d))
 
@@ -104,6 +118,10 @@ def q_stat_averages(spark, d):
     return averages.stat_averages(_history(spark, d))
 
 
+def q_stat_averages_split(spark, d):
+    return averages.stat_averages(skew.split_join(fx.stats(spark, d), _props_with_id(spark, d), "personid", ["gameid", "row_a", "row_b"]))
+
+
 def q_stat_averages_union(spark, d):
     return averages.stat_averages_union(_history(spark, d))
 
@@ -286,6 +304,7 @@ def q_trigger_records(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_props": q_scan_props,
+    "props_quarantine": q_props_quarantine,
     "split_names": q_split_names,
     "dedup_players": q_dedup_players,
     "resolve_players": q_resolve_players,
@@ -293,6 +312,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stat_types": q_stat_types,
     "stat_value": q_stat_value,
     "stat_averages": q_stat_averages,
+    "stat_averages_split": q_stat_averages_split,
     "stat_averages_union": q_stat_averages_union,
     "deviation": q_deviation,
     "locks_final": q_locks_final,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linecast.schemas import PROPS
+from linecast.session import ensure_checkpoint_dir
 
 
 def read_props(spark: SparkSession, path: str, infer_schema: bool = False) -> DataFrame:
@@ -19,6 +20,22 @@ def read_props(spark: SparkSession, path: str, infer_schema: bool = False) -> Da
     return reader.json(path)
 
 
+def split_props(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """SRC1 with quarantine: (lines, broken) of NDJSON files, read once.
+
+    ``lines`` has the props schema and holds only lines that parse (an all-null
+    object is one); ``broken`` has ``file`` and ``text`` of every other
+    non-blank line. The parsed rows are checkpointed in the shared folder, with
+    a broken line's text only, and both results read that copy."""
+    ensure_checkpoint_dir(spark)
+    marked = T.StructType([*PROPS.fields, T.StructField("_broken", T.StringType())])
+    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")).where(F.trim("text") != "")
+    parsed = text.withColumn("p", F.from_json("text", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}))
+    broken = F.col("p").isNull() | F.col("p._broken").isNotNull()
+    kept = parsed.select("p", broken.alias("bad"), F.when(broken, F.col("file")).alias("file"), F.when(broken, F.col("text")).alias("text")).checkpoint()
+    return kept.where(~F.col("bad")).select(*[F.col(f"p.{f.name}").alias(f.name) for f in PROPS.fields]), kept.where("bad").select("file", "text")
+
+
 def broken_lines(spark: SparkSession, path: str) -> int:
     """How many non-blank lines of the files do not parse (a PERMISSIVE scan
     returns them as all-null rows)."""

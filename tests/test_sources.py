@@ -1,9 +1,11 @@
 """NDJSON lines, trigger parsing and JDBC predicate construction."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from linecast.sources.jdbc import hash_predicates
-from linecast.sources.props import broken_lines, read_props
+from linecast.sources.props import broken_lines, read_props, split_props
 from linecast.sources.triggers import parse_triggers, route_triggers
 
 
@@ -20,6 +22,22 @@ def test_props_schema_and_bad_lines(spark, tmp_dir):
     assert broken_lines(spark, path) == 1
 
 
+def test_quarantine_reads_the_files_once(spark, tmp_dir):
+    good = '{"player_name": "Ann Example", "stat": "assists", "line": 4, "game_date": "2031-02-03", "team": "AAA"}'
+    os.makedirs(path := f"{tmp_dir}/lines")
+    for name, lines in {"a.json": [good, "", "not json", "{}", "null"], "b.json": ['{"player_name": "Bob', "   ", good, '{"line": "x"}']}.items():
+        with open(f"{path}/{name}", "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+    lines, broken = split_props(spark, path)
+    # Both come from the checkpointed copy: the files may go.
+    os.remove(f"{path}/a.json")
+    os.remove(f"{path}/b.json")
+    assert sorted((r.player_name or "", r.line or 0.0) for r in lines.collect()) == [("", 0.0), ("Ann Example", 4.0), ("Ann Example", 4.0)]
+    got = sorted((r.file.rsplit("/", 1)[1], r.text) for r in broken.collect())
+    assert got == [("a.json", "not json"), ("a.json", "null"), ("b.json", '{"line": "x"}'), ("b.json", '{"player_name": "Bob')]
+    assert "FileScan" not in lines._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scan_of_written_lines_equals_the_registered_key(spark, tmp_dir):
     """The key parses the same text that an NDJSON file holds: scan one."""
     from linecast.plans import queries
