@@ -26,6 +26,7 @@ from linecast.sinks.append import append_new, parquet_writer, read_parquet_targe
 from linecast.sinks.ledger import Ledger
 from linecast.sources.jdbc import append_table, read_table
 from linecast.sources.triggers import after_mark, count_triggers, newest_mark, parse_triggers
+from linecast.streaming.lifecycle import Lifecycle, observed
 
 Analysis = Callable[[str, str], DataFrame]   # run timestamp, run id -> predictions (table layout)
 
@@ -100,10 +101,12 @@ def _run_of(counted: dict, run_id: str) -> dict:
     return {"run_ts": counted["newest"], "run_id": f"{run_id}-{counted['newest']}"}
 
 
-def batch_handler(spark: SparkSession, analysis: Analysis, target: Target | Ledger | str, log: list | None = None):
+def batch_handler(spark: SparkSession, analysis: Analysis, target: Target | Ledger | str, log: list | None = None, lifecycle: Lifecycle | None = None):
     """``foreachBatch`` function: route the batch's triggers and run once."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if lifecycle is not None:
+            lifecycle.begin(batch_id)
         counted = count_triggers(parse_triggers(batch))
         entry = {"batch_id": batch_id, "triggers": counted["accepted"], "rejected": counted["rejected"]}
         if counted["accepted"]:
@@ -116,14 +119,18 @@ def batch_handler(spark: SparkSession, analysis: Analysis, target: Target | Ledg
 
 def start(spark: SparkSession, messages: DataFrame, analysis: Analysis, target: Target | Ledger | str,
           checkpoint_location: str, processing_time: str | None = "60 seconds",
-          available_now: bool = False, log: list | None = None) -> StreamingQuery:
+          available_now: bool = False, log: list | None = None, lifecycle: Lifecycle | None = None) -> StreamingQuery:
     """Start the trigger stream; the caller owns the returned query handle
-    (``awaitTermination`` / ``stop``)."""
+    (``awaitTermination`` / ``stop``). ``lifecycle``: an attached listener that
+    records progress, trigger counts and the error that ends the stream."""
+    if lifecycle is not None:
+        messages = observed(messages)
     writer = (
-        messages.writeStream.foreachBatch(batch_handler(spark, analysis, target, log))
+        messages.writeStream.foreachBatch(batch_handler(spark, analysis, target, log, lifecycle))
         .outputMode("append")
         .option("checkpointLocation", checkpoint_location)
     )
+    writer = writer.queryName(lifecycle.name) if lifecycle is not None else writer
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
 
