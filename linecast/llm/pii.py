@@ -12,9 +12,16 @@ Kinds, in output order:
   counts, Luhn) are consumed and dropped.
 * ``url``: a scheme's address that holds credentials or a numeric host.
 * ``account``: the value after an identifier cue (``password=...``,
-  ``"token": "..."``, ``IBAN: ...``) or a cloud key id. A value must be six
-  characters or more and hold a digit, so prose after a cue is left alone. An
-  IBAN also goes on over single blanks, as far as its check digits hold.
+  ``"token": "..."``, ``X-API-Key: ...``, ``Authorization: Bearer ...``,
+  ``SSN 078-05-1120``, ``account 12345678``), a cloud key id, a private key
+  block, or an IBAN. A value must be six characters or more and hold a digit, so
+  prose after a cue is left alone; after a password cue three words joined by
+  signs will do, and between quotes any sign that is no letter or blank (the
+  value then goes on to the closing quote), and after ``Authorization`` capitals
+  inside a word. Without ``:``, ``=`` or ``#`` only
+  digits and hyphens follow account, SSN and passport cues. An IBAN goes on over
+  single blanks, as far as its check digits hold; without a cue it must be in
+  one piece or in groups of four, and hold as a whole.
 
 Values and credentials have no greatest length.
 
@@ -43,12 +50,30 @@ _IP = re.compile(r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL = re.compile(r"://(?:[^\s/?#@<>\"']++@[A-Za-z0-9.-]+|[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?::[0-9]+)?(?:/[^\s<>\"']*+)?")
-_SEPARATOR = r"[\"']?[\x20]?(?:number|no\.?|id)?[\"']?[\x20]?[:=#][\x20]?[\"']?"
+_COLON = r"[\"']?[\x20]?(?:number|no\.?|id)?[\"']?[\x20]?[:=#][\x20]?"
+_SEPARATOR = _COLON + r"[\"']?"
 _VALUE = re.compile(_SEPARATOR + r"([A-Za-z0-9][A-Za-z0-9+/_.-]{5,}+)")
 _IBAN = re.compile(_SEPARATOR + r"([A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]){11,30}|[a-z]{2}[0-9]{2}(?:[\x20]?[a-z0-9]){11,30})")
+_QUOTED = re.compile(_COLON + r"""(?:"([^"\r\n]{6,}+)"|'([^'\r\n]{6,}+)')""")
+_NUMBER = re.compile(r"\x20(?:number\x20|no\.?\x20|id\x20)?([0-9][0-9-]{5,}+)")
+_BEARER = re.compile(r"\x20([A-Za-z0-9][A-Za-z0-9._~+/=-]{15,}+)")
+_AUTHORIZATION = re.compile(r"[\"']?\x20?[:=]\x20?[\"']?(?:(?:Bearer|Basic|Token|bearer|basic|token)\x20)?([A-Za-z0-9][A-Za-z0-9._~+/=-]{5,}+)")
+_MIXED = re.compile(r"[a-z][A-Z]|=")
+_BARE_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?:\x20[A-Z0-9]{4}){2,7}+(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
+_JOINED_WORDS = re.compile(r"[A-Za-z]+(?:[+/_.-][A-Za-z]+){2,}+")
+#: A private key block: header, optional fields, lines of base64, optional end.
+_KEY_BLOCK = re.compile(
+    r"-----BEGIN [A-Z0-9 ]{0,40}?PRIVATE KEY(?: BLOCK)?-----(?:[\r\n]+[A-Za-z-]++: [^\r\n]*+)*+"
+    r"(?:\s*+[A-Za-z0-9+/=]++(?=[ \t]*+(?:[\r\n]|\Z|-----END)))*+(?:\s*+-----END [A-Z0-9 ]{0,40}?PRIVATE KEY(?: BLOCK)?-----)?"
+)
 _CLOUD_KEY = re.compile(r"[A-Z0-9]{16}(?![A-Za-z0-9])")
 _DIGITS = "0123456789"
-_CUES = ("password", "passwd", "token", "secret", "api_key", "apikey", "account", "acct", "iban", "ssn", "passport")
+#: Identifier cues, by what may follow: p passwords, n numbers, i IBANs, a the rest.
+#: A blank stands for any of ``_`` ``-`` blank or nothing.
+_CUES = {
+    "password": "p", "passwd": "p", "pwd": "p", "passphrase": "p", "token": "a", "secret": "a", "api key": "a", "access key": "a", "secret key": "a", "secret access key": "a",
+    "client secret": "a", "account": "n", "acct": "n", "iban": "i", "ssn": "n", "passport": "n", "authorization": "h", "bearer": "b",
+}
 _SCHEMES = ("http", "https", "ftp", "sftp", "ssh", "postgres", "mysql", "mongodb", "redis", "amqp")
 
 SPAN_TYPE = "array<struct<kind:string,start:bigint,end:bigint>>"
@@ -65,9 +90,12 @@ def _anchors():
         a = ahocorasick.Automaton()
         for anchor in ("@", "+", "://", *_DIGITS):
             a.add_word(anchor, (anchor[0] if anchor not in _DIGITS else "0", len(anchor)))
-        for cue in _CUES:
-            for form in {cue, cue.capitalize(), cue.upper()}:
-                a.add_word(form, ("i" if cue == "iban" else "a", len(form)))
+        for cue, what in _CUES.items():
+            for joint in "_- " + "\0":
+                plain = cue.replace(" ", joint).replace("\0", "")
+                for form in {plain, plain.capitalize(), plain.title(), plain.upper(), plain.title().replace("Api", "API")}:
+                    a.add_word(form, (what, len(form)))
+        a.add_word("-----BEGIN ", ("e", 11))
         a.add_word("AKIA", ("k", 4))
         a.make_automaton()
         _automaton = a
@@ -105,6 +133,34 @@ def iban_end(text: str, start: int, end: int) -> int:
     return start
 
 
+def _digit(value: str) -> bool:
+    return any(c in _DIGITS for c in value)
+
+
+def _value(text: str, what: str, cue: int, at: int) -> tuple[int, int] | None:
+    """Bounds of the value of kind ``what`` whose cue is ``text[cue:at]``."""
+    if what == "k":
+        m = _CLOUD_KEY.match(text, at)
+        return (cue, m.end()) if m else None
+    if what == "e":
+        m = _KEY_BLOCK.match(text, cue)
+        return m.span() if m else None
+    if what in "bh":
+        m = (_BEARER if what == "b" else _AUTHORIZATION).match(text, at)
+        return m.span(1) if m and (_digit(m[1]) or what == "h" and _MIXED.search(m[1])) else None
+    if (m := _QUOTED.match(text, at)) and any(not (c.isalpha() or c.isspace()) for c in m[m.lastindex]):
+        return m.span(m.lastindex)
+    m = _VALUE.match(text, at)
+    start, end = m.span(1) if m and (_digit(m[1]) or what == "p" and _JOINED_WORDS.fullmatch(m[1])) else (0, 0)
+    if what == "i" and (m := _IBAN.match(text, at)):
+        whole = iban_end(text, *m.span(1))
+        if whole > max(end, m.start(1)):
+            return m.start(1), whole
+    if not end and what == "n" and (m := _NUMBER.match(text, at)):
+        return m.span(1)
+    return (start, end) if end else None
+
+
 def scan(text: str | None) -> list[tuple[str, int, int]]:
     """All spans of a text as (kind, start, end), by kind, then start."""
     if not text:
@@ -120,6 +176,10 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
     for last, (what, size) in _anchors().iter(text):
         p = last + 1 - size
         if what == "0":
+            # Two capitals before the first of two digits may begin an IBAN.
+            q = p - 2
+            if q >= done["account"] and text[q:p].isascii() and text[q:p].isalpha() and not (q and text[q - 1].isalnum()) and (m := _BARE_IBAN.match(text, q)) and iban_end(text, q, m.end()) == m.end():
+                take("account", q, m.end())
             if p >= done["ip"] and (p == 0 or text[p - 1] not in _DIGITS) and (m := _IP.match(text, p)):
                 take("ip", p, m.end(), all(map(octet, m[0].split("."))))
             if p >= done["card"] and (m := _CARD.match(text, p)):
@@ -141,17 +201,8 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
             if text[start:p].lower() in _SCHEMES and (m := _URL.match(text, p)):
                 take("url", start, m.end())
         elif p >= done["account"] and not (p and text[p - 1].isalnum()):
-            m = (_CLOUD_KEY if what == "k" else _VALUE).match(text, last + 1)
-            if m and what == "k":
-                take("account", p, m.end())
-                continue
-            start, end = m.span(1) if m and any(c in _DIGITS for c in m[1]) else (0, 0)
-            if what == "i" and (m := _IBAN.match(text, last + 1)):
-                whole = iban_end(text, *m.span(1))
-                if whole > max(end, m.start(1)):
-                    start, end = m.start(1), whole
-            if end:
-                take("account", start, end)
+            if span := _value(text, what, p, last + 1):
+                take("account", *span)
     return [s for k in KINDS for s in found[k]]
 
 
