@@ -196,7 +196,8 @@ def _sets(docs: DataFrame, k: int, percent: int, rows: int) -> DataFrame:
 
 
 class Node:
-    """A run [lo, hi) of sets: OR of their bitmaps, size range, slack."""
+    """A run [lo, hi) of sets: OR of their bitmaps, size range, slack. Leaves (one
+    set) and the nodes over them keep bitmaps of about eight bits a shingle."""
 
     __slots__ = ("lo", "hi", "bits", "least", "most", "slack", "children")
 
@@ -204,31 +205,55 @@ class Node:
         self.lo, self.hi, self.bits, self.least, self.most, self.slack, self.children = lo, hi, bits, least, most, slack, children
 
 
+def _places(h: np.ndarray) -> np.ndarray:
+    return (h >> _U(13)) % _U(_BITS)
+
+
 def signature(h: np.ndarray) -> tuple[np.ndarray, int]:
     """Bitmap of a set, and by how much its size exceeds the bits set."""
     bits = np.zeros(_BITS // 64, np.uint64)
-    at = (h >> _U(13)) % _U(_BITS)
+    at = _places(h)
     np.bitwise_or.at(bits, (at >> _U(6)).astype(np.int64), _U(1) << (at & _U(63)))
     return bits, len(h) - int(np.bitwise_count(bits).sum())
 
 
+def _words(shingles: int) -> int:
+    """Words of a bitmap of about eight bits a shingle: a power of two."""
+    return min(_BITS // 64, 1 << max(0, (max(shingles, 1) - 1).bit_length() - 3))
+
+
+def fold(bits: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap of ``words`` words (a power of two): places modulo its size."""
+    return bits if len(bits) <= words else np.bitwise_or.reduce(bits.reshape(-1, words))
+
+
 class Forest:
     """Signature tree over sets, and its dual traversal."""
 
     def __init__(self, sets: list[np.ndarray], labels: np.ndarray, outer: np.ndarray, percent: int):
         """``outer``: sets that are not compared among each other."""
         self.sets, self.label, self.outer, self.percent = sets, labels, outer, percent
-        sig = [signature(h) for h in sets]
         level = []
-        for lo in range(0, len(sets), _LEAF):
-            hi = min(lo + _LEAF, len(sets))
-            size = [len(h) for h in sets[lo:hi]]
-            leaves = [Node(i, i + 1, sig[i][0], len(sets[i]), len(sets[i]), sig[i][1]) for i in range(lo, hi)]
-            level.append(self._over(leaves, min(size), max(size)))
+        for lo in range(0, len(sets), _LEAF * _FAN):
+            hi = min(lo + _LEAF * _FAN, len(sets))
+            parts = [self._bottom(i, min(i + _LEAF, hi)) for i in range(lo, hi, _LEAF)]
+            c = [x for x, _, _ in parts]
+            level.append(Node(lo, hi, np.bitwise_or.reduce([b for _, b, _ in parts]), min(x.least for x in c), max(x.most for x in c), max(s for _, _, s in parts), c))
         while len(level) > 1:
             level = [self._over(c, min(x.least for x in c), max(x.most for x in c)) for c in (level[i:i + _FAN] for i in range(0, len(level), _FAN))]
         self.root = level[0] if level else None
 
+    def _bottom(self, lo: int, hi: int) -> tuple[Node, np.ndarray, int]:
+        """Node over single sets, with the whole bitmap and slack for its parent:
+        those live for the parent's making only."""
+        sig = [signature(h) for h in self.sets[lo:hi]]
+        size = [len(h) for h in self.sets[lo:hi]]
+        leaves = [Node(i, i + 1, fold(b, _words(n)), n, n, slack) for i, n, (b, slack) in zip(range(lo, hi), size, sig)]
+        folded = [fold(b, _words(sum(size))) for b, _ in sig]
+        slack = max(n - int(np.bitwise_count(b).sum()) for n, b in zip(size, folded))
+        node = Node(lo, hi, np.bitwise_or.reduce(folded), min(size), max(size), slack, leaves)
+        return node, np.bitwise_or.reduce([b for b, _ in sig]), max(x for _, x in sig)
+
     @staticmethod
     def _over(children: list[Node], least: int, most: int) -> Node:
         bits = np.bitwise_or.reduce([c.bits for c in children])
@@ -239,11 +264,27 @@ class Forest:
         x = self.label[a.lo]
         return bool((self.label[a.lo:a.hi] == x).all() and (self.label[b.lo:b.hi] == x).all())
 
+    def _most_common(self, a: Node, b: Node) -> int:
+        """Bound of the shingles that a set of ``a`` and one of ``b`` share."""
+        words = min(len(a.bits), len(b.bits))
+        if a.children and b.children:
+            # The slack of one side is enough; that of a folded bitmap is not known.
+            slack = min(x.slack for x in (a, b) if len(x.bits) == words)
+            return int(np.bitwise_count(fold(a.bits, words) & fold(b.bits, words)).sum()) + slack
+        if a.children or b.children:
+            # Shingles of the single set whose bit the other node holds.
+            one, many = (b, a) if a.children else (a, b)
+            at = _places(self.sets[one.lo]) % _U(64 * len(many.bits))
+            return int(((many.bits[(at >> _U(6)).astype(np.int64)] >> (at & _U(63))) & _U(1)).sum())
+        x, y = fold(a.bits, words), fold(b.bits, words)
+        set_x, set_y, both = (int(np.bitwise_count(z).sum()) for z in (x, y, x & y))
+        return both + min(a.most - set_x, b.most - set_y)
+
     def _may_link(self, a: Node, b: Node) -> bool:
         p = self.percent
         if 100 * a.most < p * b.least or 100 * b.most < p * a.least:
             return False
-        overlap = int(np.bitwise_count(a.bits & b.bits).sum()) + min(a.slack, b.slack)
+        overlap = self._most_common(a, b)
         return overlap * (100 + p) >= p * (a.least + b.least)
 
     def links(self) -> Iterator[tuple[int, int]]:

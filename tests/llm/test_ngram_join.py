@@ -1,13 +1,15 @@
 """N-gram join against brute force over all pairs."""
 
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
 
 from linecast.llm import ngram_join as G
 from linecast.llm.common import table
-from tests.conftest import SF_SMALL
+from tests.conftest import ROOT, SF_SMALL
 from tests.llm.helpers import SCHEMA, awkward, awkward_rows, clashing, empty, prose
 
 
@@ -137,3 +139,33 @@ def test_word_table_is_bounded_in_bytes(monkeypatch):
         text = " ".join(f"w{i}-{j}" for j in range(50))
         assert np.array_equal(G.shingles(text, 3), G.shingles(text, 3))
     assert len(G._word_hash) < 200
+
+
+def test_bounds_never_fall_below_the_overlap():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 2**62, 4000).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool, int(n), replace=False)) for n in rng.choice([1, 2, 3, 8, 9, 60, 700, 3000], 150)]
+    forest = G.Forest(sets, np.arange(len(sets)), np.zeros(len(sets), bool), 80)
+    nodes, stack = [], [forest.root]
+    while stack:
+        nodes.append(stack.pop())
+        stack += nodes[-1].children
+    for a in nodes:
+        for b in nodes[::7]:
+            if a.hi <= b.lo or b.hi <= a.lo:
+                true = max(len(np.intersect1d(x, y)) for x in sets[a.lo:a.hi][:4] for y in sets[b.lo:b.hi][:4])
+                assert forest._most_common(a, b) >= true
+
+
+def test_a_block_of_250_000_short_sets_stays_small():
+    """In a process of its own: sets of 8 shingles, under 600 MB in all."""
+    code = """
+import resource
+import numpy as np
+from linecast.llm import ngram_join as N
+h = np.sort(np.random.default_rng(1).integers(0, 2**62, (250_000, 8)).astype(np.uint64), axis=1)
+f = N.Forest(list(h), np.arange(len(h)), np.zeros(len(h), bool), 80)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=ROOT)
+    assert int(out.stdout) < 600, out.stdout
