@@ -58,11 +58,12 @@ def unified_history(stats: DataFrame, props_with_id: DataFrame, games: DataFrame
     sort-merge joined otherwise (AQE splits skewed partitions).
     """
     props_with_id = props_with_id.filter(F.col("stat").isNotNull())   # FLT2: per-stat jobs drop them
-    h = stats.join(props_with_id, on="personid", how="inner").join(
-        games.select("gameid", "gamedate"), on="gameid", how="inner"
+    # Only the line's own value, not all six measures, goes on to the games join.
+    h = stats.join(props_with_id, on="personid", how="inner").select(
+        *LINE_KEY, "gameid", "row_a", "row_b", stat_value("stat").alias("x")
     )
-    return h.select(
-        *LINE_KEY, "gameid", "gamedate", "row_a", "row_b", stat_value("stat").alias("x")
+    return h.join(games.select("gameid", "gamedate"), on="gameid", how="inner").select(
+        *LINE_KEY, "gameid", "gamedate", "row_a", "row_b", "x"
     )
 
 

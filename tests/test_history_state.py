@@ -133,3 +133,18 @@ def test_nothing_new_and_empty_tables(spark):
     want = rows_of(S.summary(state))
     same(rows_of(S.summary(S.merge(state, none))), want)
     same(rows_of(S.summary(S.merge(none, state))), want)
+
+
+def test_only_the_lines_value_reaches_the_games_join(spark):
+    """JN4: below the join on ``gameid`` the six measures are one column."""
+    from linecast.operators import history
+    from linecast.plans import queries
+    from linecast.sources import fixtures as fx
+
+    h = history.unified_history(fx.stats(spark, SF_SMALL), queries._props_with_id(spark, SF_SMALL), fx.games(spark, SF_SMALL))
+    plan = h._jdf.queryExecution().optimizedPlan()
+    join = plan
+    while "Join" not in join.nodeName():
+        join = join.children().head()
+    below = {join.left().output().apply(i).name() for i in range(join.left().output().size())}
+    assert "x" in below and not below & {"points", "assists", "reboundstotal", "steals", "blocks", "threepointersmade"}
