@@ -15,7 +15,7 @@ never again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linecast.functions.stats import is_elite, stat_value
@@ -49,6 +49,11 @@ def _line_tie_order() -> list:
     return [F.col("line").asc(), F.col("team").asc(), F.col("player_name").asc()]
 
 
+def _value_order() -> Column:
+    """Last in both orders: rows repeated under one key differ only by value."""
+    return F.col("x").desc_nulls_last()
+
+
 def unified_history(stats: DataFrame, props_with_id: DataFrame, games: DataFrame) -> DataFrame:
     """JN3 + JN4 + EXP5: history rows of each resolved line with the game date
     and ``x``, the value of the line's stat. Rows without a game drop.
@@ -108,7 +113,7 @@ def with_recency(unified: DataFrame) -> DataFrame:
     """WIN1 + WIN2 + WIN3 on every history row.
 
     * ``rk``: 1-based rank within (personid, stat), newest first, ties broken
-      by (gameid, row_a, row_b) desc then (line, team, player_name). Lines of
+      by (gameid, row_a, row_b) desc, (line, team, player_name), x desc. Lines of
       the same player/stat interleave, as in the reference.
     * ``w`` = 0.95 ** (rk - 1).
     * ``pos``: 0-based position of a non-null ``x`` within its line, newest
@@ -116,10 +121,10 @@ def with_recency(unified: DataFrame) -> DataFrame:
     """
     gd_type = unified.schema["gamedate"].dataType
     u = _with_day(unified).drop("gamedate").repartition("personid", "stat", _DAY)
-    key_day = Window.partitionBy("personid", "stat", _DAY).orderBy(*_in_day_order(), *_line_tie_order())
+    key_day = Window.partitionBy("personid", "stat", _DAY).orderBy(*_in_day_order(), *_line_tie_order(), _value_order())
     line_day = Window.partitionBy(
         "personid", "stat", _DAY, "player_name", "line", "team", F.col("x").isNull()
-    ).orderBy(*_in_day_order())
+    ).orderBy(*_in_day_order(), _value_order())
     ranked = u.withColumn("_day_rk", F.row_number().over(key_day)).withColumn(
         "_day_pos", F.when(F.col("x").isNotNull(), F.row_number().over(line_day))
     )
@@ -193,9 +198,9 @@ def day_rows(unified: DataFrame, scope: list[str], null_weight: str = "keep") ->
     # extra); on a single-split input it still spreads the work over all tasks.
     u = _with_day(unified).repartition("personid", "stat", _DAY)
     in_day = _in_day_order()
-    key_day = Window.partitionBy(*scope, _DAY).orderBy(*in_day, *_line_tie_order())
+    key_day = Window.partitionBy(*scope, _DAY).orderBy(*in_day, *_line_tie_order(), _value_order())
     line_day_part = ["personid", "stat", _DAY, "player_name", "line", "team", F.col("x").isNull()]
-    line_day = Window.partitionBy(*line_day_part).orderBy(*in_day)
+    line_day = Window.partitionBy(*line_day_part).orderBy(*in_day, _value_order())
     line_day_all = Window.partitionBy(*line_day_part)   # same sort as line_day: no extra sort
     r = (
         u.withColumn("_day_rk", F.row_number().over(key_day))

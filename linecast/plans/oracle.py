@@ -178,10 +178,10 @@ HISTORY = f"""
 ranked AS (
   SELECT *,
     row_number() OVER (PARTITION BY personid, stat
-                       ORDER BY gamedate DESC, gameid DESC, row_a DESC, row_b DESC, line, team, player_name) AS rk,
+                       ORDER BY gamedate DESC, gameid DESC, row_a DESC, row_b DESC, line, team, player_name, x DESC NULLS LAST) AS rk,
     CASE WHEN x IS NOT NULL THEN row_number() OVER (
         PARTITION BY personid, player_name, stat, line, team, (x IS NULL)
-        ORDER BY gamedate DESC, gameid DESC, row_a DESC, row_b DESC) - 1 END AS pos,
+        ORDER BY gamedate DESC, gameid DESC, row_a DESC, row_b DESC, x DESC NULLS LAST) - 1 END AS pos,
     count(x) OVER (PARTITION BY personid, player_name, stat, line, team) AS n_vals
   FROM unified),
 weighted AS (
