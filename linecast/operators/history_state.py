@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from linecast.operators.history import (
     DECAY, MIN_GAMES, OLDER_WEIGHT, RECENCY_BOOST, RECENT_GAMES, SEASON_GAMES, SEASON_WEIGHT,
-    day_rows, placed_days, scope_columns, unified_history,
+    month_rows, placed_months, scope_columns, unified_history,
 )
 from linecast.schemas import LINE_KEY
 
@@ -50,7 +50,7 @@ def in_range(games: DataFrame, since: str | None = None, until: str | None = Non
 
 def fold(unified: DataFrame) -> DataFrame:
     """One state per line of the history rows given."""
-    days = placed_days(day_rows(unified, SCOPE), SCOPE).withColumn(
+    months = placed_months(month_rows(unified, SCOPE), SCOPE).withColumn(
         "_scope_rows", F.sum("_rows").over(Window.partitionBy(*SCOPE)))
     at = lambda e: F.col("_pos_base") + e["p"] - 1
     place = lambda e: F.struct(at(e).alias("pos"), e["x"].alias("x"))
@@ -60,7 +60,7 @@ def fold(unified: DataFrame) -> DataFrame:
     values = lambda lists: F.transform(F.array_sort(F.flatten(lists)), lambda e: e["x"])
     scale = F.pow(F.lit(DECAY), F.col("_rk_base"))
     spread = F.sum("_m2_d") + F.sum(F.col("_vals") * (F.col("_mean_d") - F.col("_mean")) * (F.col("_mean_d") - F.col("_mean")))
-    return days.groupBy(*LINE_KEY).agg(
+    return months.groupBy(*LINE_KEY).agg(
         F.max("_scope_rows").alias("scope_rows"),
         F.coalesce(F.sum(scale * F.col("_a")), F.lit(0.0)).alias("decay_sum"),
         F.sum(scale * F.col("_b")).alias("decay_weight"),

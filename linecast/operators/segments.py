@@ -3,8 +3,8 @@
 The reference collects all values of a line into one array. Here the array is
 cut into segments of ``SEGMENT`` positions: one row per (line, segment), so no
 row and no aggregation buffer grows with a player's career. Positions come from
-:func:`linecast.operators.history.with_recency`: the place within the game date
-plus the values on newer dates, with no window over a whole line.
+:func:`linecast.operators.history.with_recency`: the place within the month
+plus the values in newer months, with no window over a whole line.
 
 The array's readers work on segments: only the first one holds positions with
 weights of their own, only the last two can hold the last three values.
