@@ -54,10 +54,11 @@ def fold(unified: DataFrame) -> DataFrame:
         "_scope_rows", F.sum("_rows").over(Window.partitionBy(*SCOPE)))
     at = lambda e: F.col("_pos_base") + e["p"] - 1
     place = lambda e: F.struct(at(e).alias("pos"), e["x"].alias("x"))
-    head = F.transform(F.filter("_head", lambda e: at(e) < SEASON_GAMES), place)
-    tail = F.transform(F.filter("_tail", lambda e: at(e) >= F.col("_n") - 3), place)
+    # Null (and not looked at) in months that hold none of these values.
+    head = F.when(F.col("_pos_base") < SEASON_GAMES, F.transform(F.filter("_head", lambda e: at(e) < SEASON_GAMES), place))
+    tail = F.when(F.col("_pos_base") + F.col("_vals") > F.col("_n") - 3, F.transform(F.filter("_tail", lambda e: at(e) >= F.col("_n") - 3), place))
     some = lambda items: F.collect_list(F.when(F.size(items) > 0, items))
-    values = lambda lists: F.transform(F.array_sort(F.flatten(lists)), lambda e: e["x"])
+    values = lambda lists: F.transform(F.sort_array(F.flatten(lists)), lambda e: e["x"])
     scale = F.pow(F.lit(DECAY), F.col("_rk_base"))
     spread = F.sum("_m2_d") + F.sum(F.col("_vals") * (F.col("_mean_d") - F.col("_mean")) * (F.col("_mean_d") - F.col("_mean")))
     return months.groupBy(*LINE_KEY).agg(

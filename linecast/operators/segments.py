@@ -28,7 +28,7 @@ def history_segments(unified: DataFrame, size: int = SEGMENT) -> DataFrame:
     placed = with_recency(unified).where(F.col("pos").isNotNull())
     item = F.struct("pos", "x")
     rows = placed.groupBy(*LINE_KEY, F.floor(F.col("pos") / size).cast("int").alias("segment")).agg(
-        F.array_sort(F.collect_list(item)).alias("_items"), F.max("n_vals").alias("n_vals"))
+        F.sort_array(F.collect_list(item)).alias("_items"), F.max("n_vals").alias("n_vals"))
     return rows.select(*LINE_KEY, "segment", F.col("_items")[0]["pos"].alias("first_pos"),
                        F.transform("_items", lambda i: i["x"]).alias("values"), "n_vals")
 
