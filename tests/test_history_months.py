@@ -31,3 +31,16 @@ def test_arrays_are_sorted_without_a_comparator_function(spark):
     for df in (segments.history_segments(unified), history_state.fold(unified)):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "sort_array(" in plan and "array_sort(" not in plan
+
+
+def test_tasks_are_not_joined_beyond_a_bounded_size(spark):
+    from linecast.session import ADVISORY_SIZE, TASK_BYTES, configure
+
+    was = spark.conf.get(ADVISORY_SIZE)
+    try:
+        for given, want in (("64MB", str(TASK_BYTES)), ("1MB", "1MB")):
+            spark.conf.set(ADVISORY_SIZE, given)
+            configure(spark)
+            assert spark.conf.get(ADVISORY_SIZE) == want
+    finally:
+        spark.conf.set(ADVISORY_SIZE, was)
