@@ -44,3 +44,39 @@ def test_tasks_are_not_joined_beyond_a_bounded_size(spark):
             assert spark.conf.get(ADVISORY_SIZE) == want
     finally:
         spark.conf.set(ADVISORY_SIZE, was)
+
+
+def test_shuffles_are_dealt_in_proportion_to_the_table(spark, monkeypatch):
+    """Before, their number was the caller's however large the table."""
+    from linecast import session
+    from linecast.plans import queries
+    from tests.conftest import SF_SMALL
+
+    rows = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    for name in ("streak_state", "recency_rank", "decay_summary", "decay_from_state"):
+        monkeypatch.setattr(session, "ROWS_PER_PARTITION", rows // 40)
+        try:
+            queries.QUERIES[name](spark, SF_SMALL)
+            dealt = int(spark.conf.get(session.INITIAL_PARTITIONS))
+            assert 40 <= dealt <= 41
+            monkeypatch.setattr(session, "ROWS_PER_PARTITION", rows)
+            queries.QUERIES[name](spark, SF_SMALL)
+            assert int(spark.conf.get(session.INITIAL_PARTITIONS)) == dealt
+        finally:
+            spark.conf.unset(session.INITIAL_PARTITIONS)
+    monkeypatch.setattr(session, "ROWS_PER_PARTITION", rows)
+    queries.QUERIES["recency_rank"](spark, SF_SMALL)
+    assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+
+
+def test_tasks_read_a_bounded_part_of_a_file(spark):
+    from linecast.session import READ_BYTES, READ_SIZE, configure
+
+    was = spark.conf.get(READ_SIZE)
+    try:
+        for given, want in (("128MB", str(READ_BYTES)), ("1MB", "1MB")):
+            spark.conf.set(READ_SIZE, given)
+            configure(spark)
+            assert spark.conf.get(READ_SIZE) == want
+    finally:
+        spark.conf.set(READ_SIZE, was)
