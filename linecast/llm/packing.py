@@ -61,6 +61,8 @@ WORD_BYTES = 64 << 20
 WELL_FILLED = 0.999
 
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Latin letters that normalization to NFC leaves as they are and whose lower case is one letter.
+_LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -89,7 +91,11 @@ class WordEncoder:
         self.old_words: dict[bytes, bytes] = {}
         self.old_parts: dict[str, bytes] = {}
         self.held = 0
-        self.special = re.compile(b"|".join(re.escape(t.content.encode()) for t in self.whole.get_added_tokens_decoder().values()) or b"(?!)")
+        special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(re.escape(t.encode()) for t in special) or b"(?!)")
+        self.plain = re.compile(f"([{_LATIN}]+)([{re.escape(_MARKS)}]*)").fullmatch
+        # Whether a word of letters and marks can hold a special string.
+        self.plain_special = any(re.fullmatch(f"[{_LATIN}]*[{re.escape(_MARKS)}]*", t) for t in special)
 
     def forget(self) -> None:
         """Drop the tables of word and pre-token ids."""
@@ -105,12 +111,13 @@ class WordEncoder:
         self.held = 0
 
     def _ids(self, part: str) -> bytes:
-        mapped = part.encode("utf-8").decode("latin-1").translate(self.chars)
-        return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+        if not (part.isascii() and part.isprintable()):
+            part = part.encode("utf-8").decode("latin-1").translate(self.chars)
+        return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
 
     def _letters(self, letters: str) -> bytes:
         """Ids of lower-case letters, which are a word of their own in the table."""
-        word = letters.encode("ascii")
+        word = letters.encode()
         ids = self.words.get(word)
         if ids is None:
             ids = self.words[word] = self.old_words.pop(word, None) or self._ids(letters)
@@ -128,16 +135,17 @@ class WordEncoder:
         return ids
 
     def _word(self, word: bytes) -> bytes:
-        if word.isascii() and not self.special.search(word):
-            text = word.decode("ascii").lower()
-            letters = text.rstrip(_MARKS)
-            if letters.isalpha():
-                # Letters, then a run of marks without an apostrophe: two pre-tokens at most.
-                if len(letters) < len(text):
-                    return self._letters(letters) + self._part(text[len(letters):])
-                return self._letters(letters) if letters.encode() != word else self._ids(letters)
-            return b"".join(map(self._part, self.pre.findall(text)))
         text = word.decode("utf-8", "surrogatepass")
+        plain = self.plain(text)
+        if plain and not self.plain_special:
+            # Letters, then a run of marks without an apostrophe: two pre-tokens at most.
+            letters, marks = plain.groups()
+            low = letters.lower()
+            if marks:
+                return self._letters(low) + self._part(marks)
+            return self._ids(low) if low == letters else self._letters(low)
+        if word.isascii() and not self.special.search(word):
+            return b"".join(map(self._part, self.pre.findall(text.lower())))
         low = unicodedata.normalize("NFC", text)
         if self.special.search(word) or not low.replace("İ", "").isprintable() or any(c in low for c in "İΣ"):
             # Special strings, unusual characters: the tokenizer as a whole.

@@ -123,3 +123,13 @@ def test_words_with_marks_and_aged_tables(tokenizer, monkeypatch):
         text = " ".join(words[n % 7:] + [f"{w}{chr(97 + n % 26)}," for w in words])
         assert enc.encode(text) == expected(tokenizer, text)
     assert len(enc.words) + len(enc.old_words) < 200
+
+
+def test_latin_words_take_the_short_way(tokenizer):
+    """Letters beyond ASCII with capitals and marks share one entry, as ASCII ones do."""
+    enc = K.WordEncoder(PATH)
+    for text in ("ÉLAN, élan; Élan... (élan)", "Ünï\x01cödé Ünïcödé!", " ".join(f"X{chr(i)}y. {chr(i)}" for i in range(0xC0, 0x250))):
+        assert enc.encode(text) == expected(tokenizer, text)
+    enc.forget()
+    enc.encode("ÉLAN, élan; Élan...")
+    assert "élan".encode() in enc.words and set(enc.parts) == {",", ";", "..."}
