@@ -12,19 +12,23 @@ the probability of each licence family and of ``unknown``.
 
 *Training.* Positive rows are the templates' lines and their word windows, as
 licence notices are often cut. Negative rows are the look-alikes (notices of
-other licences and versions) and at most ``max_negatives`` passages that share
-no word 3-gram with a template, from the ``max_documents`` documents of the
-corpus with the smallest hash of the id. *Calibration.* Passages not trained on,
-those that share 3-grams with templates but are confirmed for no family
-included, and the look-alikes' word windows set the cutoff: the ``quantile`` of
-the highest probability of being a notice (1 - unknown) seen there, at least
-0.5. Below the cutoff a passage is ``unknown``. *Confirmation.* A passage over
+other licences and versions) and every distinct passage of the whole corpus whose
+hash is even and that shares no word 3-gram with a template. *Calibration.* Every
+distinct passage with an odd hash, those that share 3-grams with templates but
+are confirmed for no family included, and the look-alikes' word windows set the
+cutoff: the ``quantile`` of the highest probability of being a notice
+(1 - unknown) seen there, at least 0.5. Below the cutoff a passage is
+``unknown``. *Weights.* In both, a passage counts equally with every other one;
+where they are more than ``corpus_weight``, all together weigh that many rows, so
+that they do not drown the notices, whose number is fixed. None is left out.
+*Confirmation.* A passage over
 the cutoff has every family of probability ``MIN_FAMILY`` or more for which it
 holds the words that tell the family and its version (``TELLING``), and shares
 with one of its templates word 3-grams that are at least ``min_overlap`` of the
 template's or of the passage's own.
 
-Scoring covers every passage of every whole text.
+Scoring covers every passage of every whole text. Passages are cut and their
+features taken once (:func:`measured`), for both fit and scan.
 
 Defined results: null or empty text has no passage and no licence; every
 input row gives one row; rows that repeat an id share the findings of all of
@@ -38,6 +42,7 @@ DataFrame functions and Spark's own JVM estimators only.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -48,8 +53,8 @@ from pyspark.sql import functions as F
 
 from linecast.llm.common import materialize
 
-MAX_DOCUMENTS = 1000
-MAX_NEGATIVES = 2000
+#: What the corpus's passages weigh together, in rows, if there are more.
+CORPUS_WEIGHT = 2000
 QUANTILE = 0.99
 MIN_OVERLAP = 0.6
 #: Least probability of a family that is reported.
@@ -118,14 +123,18 @@ LOOKALIKES = (
 
 #: Stands for a line feed inside a passage.
 _SOFT = "\u000b"
+#: ASCII characters that are in no word, line feeds left out.
+_GAPS = "".join(c for c in map(chr, range(1, 128)) if not (c.isalnum() or c in ".+-\n" + _SOFT))
 
 
 def normal(text: Column) -> Column:
-    """Lower-cased words with blanks between them; line feeds stay, those inside
+    """Lower-cased words with one blank between them; line feeds stay, those inside
     a passage as ``_SOFT``."""
-    wrapped = F.regexp_replace(F.translate(text, _SOFT, " "), r"(?<=[^.!?:|\s])[ \t\r]*+\n(?=[ \t]*+[*#/;>-]*+[ \t]*+[A-Za-z0-9(\"'])", _SOFT)
+    wrapped = F.regexp_replace(F.replace(text, F.lit(_SOFT), F.lit(" ")), r"(?<=[^.!?:|\s])[ \t\r]*+\n(?=[ \t]*+[*#/;>-]*+[ \t]*+[A-Za-z0-9(\"'])", _SOFT)
     inner = F.regexp_replace(F.lower(wrapped), r"[.+-]+(?![a-z0-9])|(?<![a-z0-9])[.+-]+", " ")
-    return F.regexp_replace(inner, r"[^a-z0-9.+\n\x0b-]+", " ")
+    # One class of all that is in no word would be looked up character by character.
+    plain = F.translate(F.regexp_replace(inner, r"[^\x01-\x7f]+", " "), _GAPS, " " * len(_GAPS))
+    return F.regexp_replace(plain, "  +", " ")
 
 
 def words(line: Column) -> Column:
@@ -145,9 +154,9 @@ def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     the lines of wrapped ones: part 0 is the whole, part n its line n."""
     raw = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     some = docs.select(F.col(id_col).alias("id"), F.xxhash64(raw).alias("text_key"), F.posexplode(F.split(normal(raw), "\n")).alias("passage", "text")).where(F.btrim("text") != "")
-    parts = F.when(F.instr("text", _SOFT) > 0, F.concat(F.array(F.translate("text", _SOFT, " ")), F.split("text", "\\x0b"))).otherwise(F.array("text"))
+    parts = F.when(F.instr("text", _SOFT) > 0, F.concat(F.array(F.regexp_replace("text", " *\\x0b *", " ")), F.split("text", "\\x0b"))).otherwise(F.array("text"))
     lines = some.select("id", "text_key", "passage", F.posexplode(parts).alias("part", "text")).where(F.btrim("text") != "")
-    return lines.select("id", "text_key", "passage", "part", words(F.regexp_replace("text", " +", " ")).alias("words"))
+    return lines.select("id", "text_key", "passage", "part", words(F.col("text")).alias("words"))
 
 
 def features(rows: DataFrame, counter: CountVectorizerModel) -> DataFrame:
@@ -170,21 +179,84 @@ def _windows(known: DataFrame) -> DataFrame:
     return tails.unionByName(heads).where(F.size("words") >= 4)
 
 
+@dataclass
+class Notices:
+    """What is known of the templates: families, 3-grams, counter of terms."""
+
+    families: list[str]
+    templates: list  # (family, 3-grams)
+    counter: CountVectorizerModel
+    known: DataFrame
+    alike: DataFrame
+
+
+def notices(spark: SparkSession, templates=TEMPLATES) -> Notices:
+    known = _templates(spark, templates)
+    alike = _templates(spark, [(UNKNOWN, t) for t in LOOKALIKES])
+    # The templates are the operator's parameter: their 3-grams become literals.
+    own = known.select("family", "words", trigrams(F.col("words")).alias("grams")).collect()
+    vocabulary = sorted({" ".join(w[i:i + n]) for w in [r["words"] for r in own + alike.collect()] for n in (1, 2) for i in range(len(w) - n + 1)})
+    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_terms", outputCol="features")
+    return Notices(sorted({f for f, _ in templates}) + [UNKNOWN], [(r["family"], r["grams"]) for r in own], counter, known, alike)
+
+
+def measured(docs: DataFrame, about: Notices, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The passages of whole texts, stored: id, text_key, passage, part, features,
+    ``h`` (hash of the words), and the words of those that share a word 3-gram with
+    a template (null for the others, which no family can be confirmed for)."""
+    shares = F.exists(trigrams(F.col("words")), lambda g: g.isin(sorted({g for _, own in about.templates for g in own})))
+    rows = features(paragraphs(docs, id_col, text_col), about.counter).withColumn("h", F.xxhash64("words"))
+    return materialize(rows.withColumn("words", F.when(shares, F.col("words"))), "license-passages")
+
+
+def _highest(counts: DataFrame, over: Callable[[int, int], bool]) -> float | None:
+    """The highest notice down to which ``over(passages, windows)`` holds for the
+    numbers of rows so far (``alike``: a window), None if it holds for none.
+
+    Exact: each round counts the rows in 1,025 steps and goes on inside one."""
+    lo, hi, seen = 0.0, 1.0, [0, 0]
+    while True:
+        steps = counts.where(F.col("notice").between(lo, hi)).groupBy(F.floor((F.col("notice") - lo) / (hi - lo) * 1024).alias("step"))
+        found = steps.agg(F.count_if(~F.col("alike")).alias("passages"), F.count_if("alike").alias("windows"), F.min("notice").alias("lo"), F.max("notice").alias("hi"))
+        for r in found.orderBy(F.desc("step")).collect():
+            if over(seen[0] + r["passages"], seen[1] + r["windows"]):
+                break
+            seen = [seen[0] + r["passages"], seen[1] + r["windows"]]
+        else:
+            return None
+        if r["lo"] == r["hi"]:
+            return r["lo"]
+        lo, hi = r["lo"], r["hi"]
+
+
 @dataclass
 class Model:
-    """A fitted classifier with its families, cutoff and template 3-grams."""
+    """A fitted classifier with its families, cutoff, template 3-grams and the
+    numbers of distinct passages it was trained and calibrated on."""
 
     lr: LogisticRegressionModel | None
-    counter: CountVectorizerModel | None
-    families: list[str]
+    about: Notices
     cutoff: float
-    templates: list  # (family, 3-grams)
+    trained: int
+    spared: int
+
+    @property
+    def counter(self) -> CountVectorizerModel:
+        return self.about.counter
+
+    @property
+    def families(self) -> list[str]:
+        return self.about.families
+
+    @property
+    def templates(self) -> list:
+        return self.about.templates
 
     def named(self, rows: DataFrame) -> DataFrame:
-        """The rows whose likeliest class is a family, with the probability of
-        being a notice (``notice``) and of each class (``_each``). Probabilities
-        are computed for these rows only."""
-        classed = self.lr.copy({self.lr.rawPredictionCol: "", self.lr.probabilityCol: ""}).transform(features(rows, self.counter))
+        """The rows (with ``features``) whose likeliest class is a family, with the
+        probability of being a notice (``notice``) and of each class (``_each``).
+        Probabilities are computed for these rows only."""
+        classed = self.lr.copy({self.lr.rawPredictionCol: "", self.lr.probabilityCol: ""}).transform(rows)
         some = classed.where(F.col("_best") != len(self.families) - 1).drop("_best")
         sure = self.lr.copy({self.lr.rawPredictionCol: "", self.lr.predictionCol: ""}).transform(some)
         each = sure.withColumn("_each", vector_to_array("_p")).drop("_p", "features")
@@ -203,59 +275,63 @@ class Model:
         for i, f in enumerate(self.families[:-1]):
             p = F.element_at("_each", i + 1)
             told = F.col("_text").rlike(TELLING[f]) if f in TELLING else F.lit(True)
-            share = F.when((p >= MIN_FAMILY) & told, self.overlap(f, F.col("_grams"))).otherwise(0.0)
+            share = F.when((p >= MIN_FAMILY) & F.col("words").isNotNull() & told, self.overlap(f, F.col("_grams"))).otherwise(0.0)
             checks.append(F.struct(F.lit(f).alias("family"), p.alias("probability"), share.alias("overlap")))
         found = F.filter(F.array(*checks), lambda c: c["overlap"] >= min_overlap)
         return rows.withColumn("found", found).drop("_grams", "_text", "_each")
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, max_documents: int = MAX_DOCUMENTS, max_negatives: int = MAX_NEGATIVES, quantile: float = QUANTILE) -> Model:
-    spark = docs.sparkSession
-    known = _templates(spark, templates)
-    # The templates are the operator's parameter: their 3-grams become literals.
-    own = known.select("family", "words", trigrams(F.col("words")).alias("grams")).collect()
-    grams = [(r["family"], r["grams"]) for r in own]
-    alike = _templates(spark, [(UNKNOWN, t) for t in LOOKALIKES])
-    vocabulary = sorted({" ".join(w[i:i + n]) for w in [r["words"] for r in own + alike.collect()] for n in (1, 2) for i in range(len(w) - n + 1)})
-    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_terms", outputCol="features")
-    foreign = ~F.arrays_overlap(trigrams(F.col("words")), F.array(*map(F.lit, sorted({g for _, own in grams for g in own}))))
-    # The smallest hashes: a bounded, repeatable sample of distinct paragraphs.
-    # Broadcast: at most max_documents ids, those with the smallest hashes.
-    some = docs.select(F.col(id_col).alias("_some")).where(F.col(id_col).isNotNull()).orderBy(F.xxhash64("_some"), "_some").limit(max_documents)
-    corpus = docs.join(F.broadcast(some.distinct()), docs[id_col] == F.col("_some"), "left_semi")
-    # A line that many texts share counts once. Written first, so that the word
-    # lists are columns: inside a lambda they would be built once per 3-gram.
-    lines = materialize(paragraphs(corpus, id_col, text_col).select("words", F.xxhash64("words").alias("h")).dropDuplicates(["h"]), "license-lines")
-    sample = materialize(lines.withColumn("foreign", foreign).orderBy("h").limit(2 * max_negatives), "license-negatives")
-    negative = sample.where((F.pmod("h", F.lit(2)) == 0) & F.col("foreign")).select(F.lit(UNKNOWN).alias("family"), "words")
-    spared = sample.where(F.pmod("h", F.lit(2)) == 1).select("words")
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, corpus_weight: int = CORPUS_WEIGHT, quantile: float = QUANTILE) -> Model:
+    about = notices(docs.sparkSession, templates)
+    return fit_passages(measured(docs, about, id_col, text_col), about, corpus_weight, quantile)
+
+
+def fit_passages(rows: DataFrame, about: Notices, corpus_weight: int = CORPUS_WEIGHT, quantile: float = QUANTILE) -> Model:
+    """The model of the corpus whose :func:`measured` passages are ``rows``."""
+    odd = F.pmod("h", F.lit(2)) == 1
+    # A line that many texts share counts once; lines of equal features are one row with their number.
+    distinct = rows.where(~odd & F.col("words").isNull()).select("h", "features").dropDuplicates(["h"])
+    negative = materialize(distinct.groupBy("features").agg(F.count(F.lit(1)).alias("n")), "license-negatives")
+    trained = negative.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    spared = rows.where(odd).select("h").distinct().count()
+    if trained == 0:
+        # Nothing to tell licences from: the model names none.
+        return Model(None, about, 1.0, trained, spared)
 
     # Whole lines weigh as much as all their windows.
+    known, alike = about.known, about.alike
     cut = _windows(known)
-    positive = cut.unionByName(known).unionByName(known)
-    families = sorted({f for f, _ in templates}) + [UNKNOWN]
-    label = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1
-    rows = materialize(positive.unionByName(negative).unionByName(alike).unionByName(alike).select(label.alias("label"), "words").repartition(2), "license-training")
-    if negative.isEmpty():
-        # Nothing to tell licences from: the model names none.
-        return Model(None, None, families, 1.0, grams)
-    lr = LogisticRegression(family="multinomial", maxIter=40, regParam=0.001, labelCol="label", featuresCol="features", rawPredictionCol="_raw", probabilityCol="_p", predictionCol="_best").fit(features(rows, counter))
-    model = Model(lr, counter, families, 0.5, grams)
-    # Notices of the families are no evidence against them.
-    tried = spared.unionByName(_windows(alike).select("words"))
-    none = model.confirmed(model.named(tried), MIN_OVERLAP).where(F.size("found") == 0)
-    # Rows whose likeliest class is unknown are no notices at any cutoff.
-    over = [r["notice"] for r in none.select("notice").orderBy(F.desc("notice")).limit(max_negatives).collect()]
-    allowed = int((1 - quantile) * tried.count())
-    if len(over) > allowed:
-        model.cutoff = max(0.5, math.nextafter(over[allowed], 1.0))
+    positive = cut.unionByName(known).unionByName(known).unionByName(alike).unionByName(alike)
+    label = F.array_position(F.array(*map(F.lit, about.families)), F.col("family")).cast("double") - 1
+    own = features(positive, about.counter).select(label.alias("label"), "features", F.lit(1.0).alias("weight"))
+    corpus = negative.select(F.lit(len(about.families) - 1.0).alias("label"), "features", (F.col("n") * min(1.0, corpus_weight / trained)).alias("weight"))
+    training = materialize(corpus.unionByName(own.coalesce(1)), "license-training")
+    lr = LogisticRegression(family="multinomial", maxIter=40, regParam=0.001, labelCol="label", featuresCol="features", weightCol="weight", rawPredictionCol="_raw", probabilityCol="_p", predictionCol="_best").fit(training)
+    model = Model(lr, about, 0.5, trained, spared)
+    # Notices of the families are no evidence against them. Rows whose likeliest
+    # class is unknown are no notices at any cutoff.
+    windows = _windows(alike).select("words")
+    tried = [
+        model.named(rows.where(odd).select("h", "features", "words")).dropDuplicates(["h"]).drop("h").withColumn("alike", F.lit(False)),
+        model.named(features(windows, about.counter)).withColumn("alike", F.lit(True)),
+    ]
+    none = [model.confirmed(t, MIN_OVERLAP).where(F.size("found") == 0).select("notice", "alike") for t in tried]
+    each, all_windows = min(1.0, corpus_weight / max(spared, 1)), windows.count()
+    allowed = (1 - quantile) * (each * spared + all_windows)
+    top = _highest(materialize(none[0].unionByName(none[1]), "license-calibration"), lambda passages, others: each * passages + others > allowed)
+    if top is not None:
+        model.cutoff = max(0.5, math.nextafter(top, 1.0))
     return model
 
 
 def find_licenses(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", min_overlap: float = MIN_OVERLAP) -> DataFrame:
     """One row per confirmed family of a passage: id, passage (from 0), part (0:
     the whole passage, n: its line n alone), family, probability, overlap."""
-    lines = paragraphs(docs, id_col, text_col)
+    return find_in_passages(measured(docs, model.about, id_col, text_col), model, id_col, min_overlap)
+
+
+def find_in_passages(lines: DataFrame, model: Model, id_col: str = "doc_id", min_overlap: float = MIN_OVERLAP) -> DataFrame:
+    """:func:`find_licenses` of a corpus's :func:`measured` passages."""
     out = [F.col("id").alias(id_col), F.col("passage").cast("long").alias("passage"), F.col("part").cast("long").alias("part")]
     if model.lr is None:
         return lines.where(F.lit(False)).select(*out, F.lit("").alias("family"), F.lit(0.0).alias("probability"), F.lit(0.0).alias("overlap"))

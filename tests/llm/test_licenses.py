@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from linecast.llm import licenses as L
 from linecast.llm.common import table
@@ -136,3 +137,66 @@ def test_equals_plain_version(spark, model):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: (r["n_notices"], r["families"]) for r in L.summarize(docs, L.find_licenses(docs, model)).collect()}
     assert got == expected and sum(n for n, _ in got.values()) > 12
+
+
+def _plain_notice(model, words):
+    """(probability of being a notice, confirmed families) of a passage, None for the first if it is likeliest unknown."""
+    place = {w: i for i, w in enumerate(model.counter.vocabulary)}
+    x = np.zeros(len(place))
+    for t in words + [" ".join(w) for w in zip(words, words[1:])]:
+        if t in place:
+            x[place[t]] += 1
+    z = model.lr.coefficientMatrix.toArray() @ x + model.lr.interceptVector.toArray()
+    e = np.exp(z - z.max())
+    e /= e.sum()
+    grams = {" ".join(words[j:j + 3]) for j in range(max(1, len(words) - 2))}
+    share = {f: max(len(grams & set(own)) / min(len(grams), len(own)) for g, own in model.templates if g == f) for f in model.families[:-1]}
+    found = [f for f, q in zip(model.families, e) if f in share and q >= L.MIN_FAMILY and share[f] >= L.MIN_OVERLAP and re.search(L.TELLING[f], " ".join(words))]
+    return (None if z.argmax() == len(e) - 1 else 1 - e[-1]), found
+
+
+def test_model_and_cutoff_come_from_every_passage(spark, model):
+    """More passages than the former sample of 4,000 lines: each distinct one counts."""
+    docs = table(spark, SF, "documents")
+    rows = L.paragraphs(docs, "doc_id", "text").select("words", F.xxhash64("words").alias("h")).dropDuplicates(["h"]).collect()
+    grams = {g for _, own in model.templates for g in own}
+    odd = [r["words"] for r in rows if r["h"] % 2]
+    even = [r["words"] for r in rows if not r["h"] % 2]
+    assert len(rows) > 4000 and model.spared == len(odd)
+    assert model.trained == sum(not any(" ".join(w[j:j + 3]) in grams for j in range(max(1, len(w) - 2))) for w in even)
+    alike = L._windows(L._templates(spark, [(L.UNKNOWN, t) for t in L.LOOKALIKES])).collect()
+    each = min(1.0, L.CORPUS_WEIGHT / len(odd))
+    tried = [(w, each) for w in odd] + [(r["words"], 1.0) for r in alike]
+    none = sorted(((p, w) for (p, found), w in ((_plain_notice(model, words), w) for words, w in tried) if p is not None and not found), reverse=True)
+    allowed = (1 - L.QUANTILE) * sum(w for _, w in tried)
+    over = [p for i, (p, _) in enumerate(none) if sum(w for _, w in none[:i + 1]) > allowed]
+    assert model.cutoff == pytest.approx(max(0.5, over[0]), rel=1e-9)
+
+
+def test_every_document_takes_part(spark):
+    """2,500 documents with three passages of their own each, and a shared one."""
+    def own(i, j):
+        return f"w{i} " + prose(3 * i + j, 6).replace("\n", " ") + f" x{j}."
+    texts = ["\n".join([own(i, j) for j in range(3)] + ["The same line everywhere."]) for i in range(2500)]
+    model = L.fit(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert model.trained + model.spared == 3 * 2500 + 1
+
+
+def test_highest_is_exact(spark):
+    r = np.random.default_rng(1)
+    values = [(float(x), bool(a)) for x, a in zip(np.round(r.random(3000) ** 0.01, 6), r.random(3000) < 0.3)]
+    values += [(np.nextafter(0.75, 1.0).item(), False), (0.75, False), (0.75, True)]
+    counts = spark.createDataFrame(values, "notice double, alike boolean")
+    ordered = sorted((x for x, _ in values), reverse=True)
+    for n in (0, 1, 17, 2900, len(values) - 1):
+        assert L._highest(counts, lambda passages, windows: passages + windows > n) == ordered[n]
+    assert L._highest(counts, lambda passages, windows: passages + windows > len(values)) is None
+    only = sorted((x for x, a in values if a), reverse=True)
+    assert L._highest(counts, lambda passages, windows: windows > 40) == only[40]
+
+
+def test_normal_words_equal_plain_ones(spark):
+    texts = ["a\x00b é—, x\x0by\x7f K İstanbul ß.\r\n b ü\U0001f600c + -1.5- x\x85y z\nv2.0 -a- b.c.d", "\n\n \n", prose(5, 60), *(t for _, t in L.TEMPLATES)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["id"], r["passage"], r["part"]): r["words"] for r in L.paragraphs(docs, "doc_id", "text").collect()}
+    assert got == {(i, p, n): w for i, t in enumerate(texts) for p, n, w in _plain_units(t.replace("\x0b", " "))}
