@@ -98,3 +98,34 @@ def test_every_link_is_found_without_structure_and_beside_it(spark):
     for options in ({}, {"n_pivots": 8}, {"chunk": 50}):
         have = [r["n_links"] for r in D.near_duplicates(df, **options).orderBy("vec_id").collect()]
         assert want.sum() > 400 and have == want.tolist(), options
+
+
+def test_components_hold_every_link(spark):
+    """A vector whose only links lead to larger ids, or to one that has a smaller
+    neighbour, belongs to the component all the same."""
+    rng = np.random.default_rng(17)
+    chain = [[float(np.float32(np.cos(a))), float(np.float32(np.sin(a))), 0.0] for a in np.radians(20.0 * np.arange(18))]
+    for n in (3, 7, 15):
+        rows = [(int(i), v, 0) for i, v in zip(rng.permutation(n), chain)]
+        assert all(r[2] == 0 for r in brute(rows, 0.93))
+        for options in ({}, {"chunk": 2}, {"n_pivots": 3, "chunk": 2}):
+            assert got(D.near_duplicates(spark.createDataFrame(rows, SCHEMA), **options)) == brute(rows, 0.93), (n, options)
+
+
+def test_connect_joins_what_the_pairs_join():
+    rng = np.random.default_rng(23)
+    for n, m in ((10, 6), (500, 300), (3000, 4000)):
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        root, comp = np.arange(n), list(range(n))
+        for k in range(0, m, 1000):
+            D.connect(root, a[k:k + 1000], b[k:k + 1000])
+
+        def find(i):
+            while comp[i] != i:
+                i = comp[i]
+            return i
+
+        for i, j in zip(a, b):
+            x, y = sorted((find(i), find(j)))
+            comp[y] = x
+        assert root.tolist() == [find(i) for i in range(n)]
